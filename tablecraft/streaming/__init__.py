@@ -1,0 +1 @@
+"""No streaming operator is in scope: the covered workload is batch only."""
