@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.plans.groups import join_back, largest_group, with_group_stats
+from tablecraft.plans.groups import SIZE, join_back, largest_group, with_group_stats
 from tablecraft.plans.lineage import materialize
 from tablecraft.plans.quantiles import percentiles
 
@@ -46,8 +46,8 @@ def mean_abs_deviation(df: DataFrame, keys: list[str], value: str, name: str = "
 
 def group_filter(df: DataFrame, keys: list[str], statistics: list[Column], keep: Column | str) -> DataFrame:
     """All rows of the groups whose statistics satisfy ``keep``."""
-    groups = drop_null_keys(df, keys).groupBy(*keys).agg(*statistics).filter(keep).select(*keys)
-    return df.join(groups, keys, "left_semi")
+    groups = drop_null_keys(df, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(SIZE), *statistics)
+    return join_back(df, materialize(groups.filter(keep).select(*keys, SIZE)), keys, how="inner")
 
 
 def group_transform(df: DataFrame, keys: list[str], statistics: list[Column],
@@ -123,6 +123,6 @@ def group_mode(df: DataFrame, keys: list[str], value: str, name: str = "mode") -
 def fill_group_mode(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Fill missing values with the most frequent value of the row's group."""
     modes = group_mode(df, keys, value, "_mode")
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_group_rows"))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(SIZE))
     beside = join_back(df, materialize(sizes.join(modes, keys, "left")), keys)
     return beside.withColumn(value, F.coalesce(value, "_mode")).select(*df.columns)
