@@ -34,7 +34,7 @@ round(avg(l_extendedprice) FILTER (l_linestatus = 'F'), 4) AS "F", round(avg(l_e
 round(avg(l_extendedprice), 4) AS "All" FROM lineitem WHERE l_shipdate >= TIMESTAMP '1995-01-01'
 GROUP BY GROUPING SETS ((l_returnflag), ())""")
 def pivot_margins(t):
-    late = t.lineitem.filter(c("l_shipdate") >= F.lit("1995-01-01").cast("timestamp"))
+    late = t.lineitem.filter(c("l_shipdate") >= F.lit("1995-01-01").cast("timestamp_ntz"))
     return reshape.pivot_margins(late, "l_returnflag", "l_linestatus", ["F", "O"],
                                  F.round(F.avg("l_extendedprice"), 4))
 

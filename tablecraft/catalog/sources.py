@@ -31,7 +31,7 @@ def sink_csv(t):
 
 @query("SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'")
 def scan_parquet(t):
-    return (t.lineitem.filter(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp"))
+    return (t.lineitem.filter(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
             .select("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity"))
 
 

@@ -25,8 +25,8 @@ def weekday_name(when: Column) -> Column:
 
 def in_days(when: Column, first: str, last: str) -> Column:
     """From the start of the first to the end of the last day; pushes down as a plain range."""
-    return (when >= F.lit(first).cast("timestamp")) & (
-        when < F.date_add(F.lit(last).cast("date"), 1).cast("timestamp"))
+    return (when >= F.lit(first).cast("timestamp_ntz")) & (
+        when < F.date_add(F.lit(last).cast("date"), 1).cast("timestamp_ntz"))
 
 
 def in_year(when: Column, year: int) -> Column:
