@@ -200,8 +200,19 @@ def impute_mean_median(t):
         "bal", F.round("bal", 4))
 
 
-@query()
+@query("""WITH d AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, CASE WHEN (l_orderkey + l_linenumber) % 7 = 1 THEN NULL ELSE l_extendedprice END AS p FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity, round(coalesce(p, a + b * l_quantity), 2) AS l_extendedprice FROM d,
+(SELECT regr_slope(p, l_quantity) AS b, regr_intercept(p, l_quantity) AS a FROM d)""")
 def impute_iterative(t):
+    k = c("l_orderkey") + c("l_linenumber")
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity",
+                              F.when(k % 7 != 1, c("l_extendedprice")).alias("l_extendedprice"))
+    out = missing.IterativeImputer(["l_quantity", "l_extendedprice"]).fit(lines).transform(lines)
+    return out.withColumn("l_extendedprice", F.round("l_extendedprice", 2))
+
+
+@query(name="impute_iterative_many")
+def impute_iterative_many(t):
     k = c("l_orderkey") + c("l_linenumber")
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey",
                               F.when(k % 5 != 0, c("l_quantity")).alias("l_quantity"),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tablecraft.plans.groups import largest_group
 from tablecraft.plans.lineage import materialize
 
-PART, POS = "_part", "_pos"
+PART, POS = "_part", "_row_in_part"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 GROUP_LIMIT = 5_000_000
 
