@@ -211,6 +211,16 @@ def impute_iterative(t):
     return out.withColumn("l_extendedprice", F.round("l_extendedprice", 2))
 
 
+@query("""WITH d AS (SELECT p_partkey, p_partkey / 40.0::DOUBLE AS spot, p_size::DOUBLE AS p_size, CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_retailprice END AS price FROM part),
+n AS (SELECT a.p_partkey, b.price, row_number() OVER (PARTITION BY a.p_partkey ORDER BY round(sqrt((a.spot - b.spot) ** 2 + (a.p_size - b.p_size) ** 2), 9), b.p_partkey) AS place
+FROM d a JOIN d b ON a.price IS NULL AND b.price IS NOT NULL)
+SELECT p_partkey, spot, p_size, round(coalesce(price, (SELECT avg(n.price) FROM n WHERE n.p_partkey = d.p_partkey AND place <= 5)), 4) AS price FROM d""")
+def impute_knn(t):
+    rows = t.part.select("p_partkey", (c("p_partkey") / F.lit(40.0)).alias("spot"), c("p_size").cast("double").alias("p_size"),
+                         F.when(c("p_partkey") % 7 != 0, c("p_retailprice")).alias("price"))
+    return missing.impute_knn(rows, "p_partkey", ["spot", "p_size", "price"], 5).withColumn("price", F.round("price", 4))
+
+
 @query(name="impute_iterative_many")
 def impute_iterative_many(t):
     k = c("l_orderkey") + c("l_linenumber")

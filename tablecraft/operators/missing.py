@@ -8,6 +8,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablecraft.operators.dense import knn_dense
 from tablecraft.operators.select import columns_of
 from tablecraft.plans.lineage import materialize
 from tablecraft.plans.quantiles import percentiles
@@ -143,6 +144,34 @@ class IterativeImputer:
         return rows.drop(*[f"_gap_{c}" for c in self.columns])
 
 
+def impute_knn(df: DataFrame, key: str, columns: list[str], k: int = 5) -> DataFrame:
+    """Fill gaps with the mean over the k nearest complete rows.
+
+    Distance runs over the columns a row does have; rows are handled per pattern of
+    gaps, of which there are few. A row without any value keeps its gaps.
+    """
+    complete = materialize(df.dropna("any", subset=columns).select(key, *columns))
+    pattern = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    tagged = df.withColumn("_pattern", pattern)
+    found = [r[0] for r in tagged.select("_pattern").distinct().collect()]
+    out = tagged.filter(~F.col("_pattern").contains("1") | ~F.col("_pattern").contains("0")).drop("_pattern")
+    for marks in found:
+        have = [c for c, m in zip(columns, marks) if m == "0"]
+        lack = [c for c, m in zip(columns, marks) if m == "1"]
+        if not have or not lack:
+            continue
+        rows = tagged.filter(F.col("_pattern") == marks).drop("_pattern")
+        point = F.array(*[F.col(c).cast("double") for c in have])
+        near = knn_dense(rows.select(key, point.alias("_x")), complete.select(key, point.alias("_x")), key, "_x", k,
+                         metric="euclidean")
+        donors = complete.select(F.col(key).alias("neighbour"), *lack)
+        fills = near.join(donors, "neighbour").groupBy("id").agg(*[F.avg(c).alias(f"_f_{c}") for c in lack])
+        filled = rows.join(fills, rows[key] == fills["id"], "left").withColumns(
+            {c: F.coalesce(F.col(c).cast("double"), F.col(f"_f_{c}")) for c in lack})
+        out = out.withColumns({c: F.col(c).cast("double") for c in lack}).unionByName(filled.select(*df.columns))
+    return out
+
+
 def numeric_gaps(df: DataFrame) -> list[str]:
     """Numeric columns with missing values."""
     counts = null_counts(df).first().asDict()

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 200_000
+SMALL_ROWS = 500_000
 HOT_ROWS = 5_000_000
 SIZE = "_group_rows"
 

@@ -24,3 +24,9 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write the rows once to the shared checkpoint folder and continue from there."""
     checkpoint_home(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Before a CPU-heavy step: share out a table read from fewer files than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
