@@ -101,12 +101,12 @@ def poly_features(t):
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_suppkey, round(l_quantity + l_extendedprice + 0.5 * l_tax, 4) AS total,
-round((l_extendedprice + avg(l_extendedprice) OVER (PARTITION BY l_quantity)) / 2, 4) AS price_and_group,
+round((l_extendedprice + avg(l_extendedprice) OVER (PARTITION BY l_quantity)) / 2, 7) AS price_and_group,
 (l_discount > 0)::INTEGER AS has_discount, (l_tax > 0)::INTEGER AS has_tax, month(l_shipdate)::VARCHAR AS month FROM lineitem""")
 def house_features(t):
     price = c("l_extendedprice")
     out = aggregate.group_transform(t.lineitem, ["l_quantity"], [F.avg(price).alias("_m")], {
-        "total": r(c("l_quantity") + price + 0.5 * c("l_tax"), 4), "price_and_group": r((price + c("_m")) / 2, 4),
+        "total": r(c("l_quantity") + price + 0.5 * c("l_tax"), 4), "price_and_group": r((price + c("_m")) / 2, 7),
         "has_discount": F.when(c("l_discount") > 0, 1).otherwise(0), "has_tax": F.when(c("l_tax") > 0, 1).otherwise(0),
         "month": F.month("l_shipdate").cast("string")})
     return out.select("l_orderkey", "l_linenumber", "l_suppkey", "total", "price_and_group", "has_discount", "has_tax", "month")

@@ -199,6 +199,10 @@ class OneVsOne:
         wins = F.array(*[F.when(arrays.dot(F.col("_x"), F.lit(w)) + b > 0, F.lit(high)).otherwise(F.lit(low))
                          for low, high, w, b in self.models])
         rows = rows.withColumn("_wins", wins)
-        tally = F.array(*[F.struct(F.size(F.filter("_wins", lambda v, c=c: v == c)).alias("n"), F.lit(-i).alias("i"),
-                                   F.lit(c).alias("c")) for i, c in enumerate(self.classes)])
+
+        def count(value) -> Column:
+            return F.size(F.filter("_wins", lambda v: v == value))
+
+        tally = F.array(*[F.struct(count(c).alias("n"), F.lit(-i).alias("i"), F.lit(c).alias("c"))
+                          for i, c in enumerate(self.classes)])
         return rows.withColumn(name, F.array_max(tally)["c"]).drop("_x", "_wins")

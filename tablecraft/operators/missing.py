@@ -165,8 +165,9 @@ def impute_knn(df: DataFrame, key: str, columns: list[str], k: int = 5) -> DataF
         near = knn_dense(rows.select(key, point.alias("_x")), complete.select(key, point.alias("_x")), key, "_x", k,
                          metric="euclidean")
         donors = complete.select(F.col(key).alias("neighbour"), *lack)
-        fills = near.join(donors, "neighbour").groupBy("id").agg(*[F.avg(c).alias(f"_f_{c}") for c in lack])
-        filled = rows.join(fills, rows[key] == fills["id"], "left").withColumns(
+        fills = near.join(donors, "neighbour").groupBy(F.col("id").alias("_row")).agg(
+            *[F.avg(c).alias(f"_f_{c}") for c in lack])
+        filled = rows.join(fills, rows[key] == fills["_row"], "left").withColumns(
             {c: F.coalesce(F.col(c).cast("double"), F.col(f"_f_{c}")) for c in lack})
         out = out.withColumns({c: F.col(c).cast("double") for c in lack}).unionByName(filled.select(*df.columns))
     return out
