@@ -26,7 +26,7 @@ def scan_csv(t):
 def sink_csv(t):
     path = _scratch(t)
     src.sink_csv(t.documents, path)
-    return src.scan_csv(t.spark, path, t.documents.schema)
+    return src.scan_csv(t.spark, path, t.documents.schema, multiline=True)
 
 
 @query("SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'")

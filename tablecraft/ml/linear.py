@@ -16,6 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.functions import arrays
+from tablecraft.operators.reshape import pivot_values
+
+MAX_CLASSES = 100
 
 
 def with_features(df: DataFrame, columns: list[str], name: str = "features") -> DataFrame:
@@ -180,7 +183,7 @@ class OneVsOne:
         self.models: list = []
 
     def fit(self, df: DataFrame) -> OneVsOne:
-        self.classes = sorted(r[0] for r in df.select(self.label).distinct().limit(1000).collect())
+        self.classes = pivot_values(df, self.label, MAX_CLASSES)
 
         def one(pair):
             low, high = pair

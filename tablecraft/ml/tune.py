@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tablecraft.ml.folds import hash_bucket
 from tablecraft.ml.linear import Products, products, with_features
+from tablecraft.operators.reshape import pivot_values
 from tablecraft.plans.lineage import materialize
 
 PARALLEL = 4
@@ -23,7 +24,7 @@ Fit = Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
 
 
 def _folds(df: DataFrame, fold: str) -> list:
-    return sorted(r[0] for r in df.select(fold).distinct().limit(1000).collect())
+    return pivot_values(df, fold)
 
 
 def cross_validate(df: DataFrame, estimator: Estimator, evaluators: dict[str, Evaluator], fold: str) -> DataFrame:

@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from tablecraft.functions import arrays
 from tablecraft.operators.reshape import pivot_values
-from tablecraft.plans.groups import SIZE, join_back
+from tablecraft.plans.groups import SIZE, broadcast_if_small, join_back
 from tablecraft.plans.lineage import materialize
 from tablecraft.plans.ordering import row_index
 from tablecraft.plans.quantiles import percentiles
 
 MAX_FEATURES = 5_000
-LAMBDA_RANGE, LAMBDA_STEPS, LAMBDA_ROUNDS = (-2.0, 2.0), 41, 4
+LAMBDA_RANGE, LAMBDA_STEPS, LAMBDA_ROUNDS = (-2.0, 2.0), 21, 4
 
 
 # categories
@@ -58,7 +58,7 @@ def target_encode_oof(df: DataFrame, category: str, target: str, fold: str, name
     rest_n, rest_s = F.col("_cn") - F.col("_n"), F.col("_cs") - F.coalesce("_s", F.lit(0.0))
     prior = F.try_divide(F.col("_all.s") - F.col("_fs"), F.col("_all.n") - F.col("_fn"))
     encoded = (cells.join(per_category, cells[category].eqNullSafe(per_category[category])).drop(per_category[category])
-               .join(per_fold, fold).withColumn("_all", everything)
+               .join(broadcast_if_small(per_fold), fold).withColumn("_all", everything)
                .withColumn(name, F.coalesce(F.try_divide(rest_s + prior * smoothing, rest_n + smoothing), prior)))
     return join_back(df, materialize(encoded.select(category, fold, SIZE, name)), [category, fold])
 
@@ -198,13 +198,13 @@ def mutual_information(df: DataFrame, features: list[str], label: str) -> DataFr
     """Mutual information (nats) of each category column with the label."""
     long = df.select(F.col(label).cast("string").alias("_y"), *[F.col(c).cast("string").alias(c) for c in features])
     long = long.unpivot(["_y"], features, "feature", "_x").filter("_x IS NOT NULL AND _y IS NOT NULL")
+    n = F.col("_n")
     cells = materialize(long.groupBy("feature", "_x", "_y").agg(F.count(F.lit(1)).alias("_n")))
-    xs = cells.groupBy("feature", "_x").agg(F.sum("_n").alias("_nx"))
-    ys = cells.groupBy("feature", "_y").agg(F.sum("_n").alias("_ny"))
-    totals = cells.groupBy("feature").agg(F.sum("_n").alias("_nt"))
-    joined = cells.join(xs, ["feature", "_x"]).join(ys, ["feature", "_y"]).join(totals, "feature")
-    part = F.col("_n") / F.col("_nt") * F.log(F.col("_n") * F.col("_nt") / (F.col("_nx") * F.col("_ny")))
-    return joined.groupBy("feature").agg(F.sum(part).alias("score"))
+    both = cells.groupBy("feature").agg(F.sum(n * F.log(n)).alias("xy"), F.sum(n).alias("t"))
+    sides = [cells.groupBy("feature", side).agg(F.sum(n).alias("_n")).groupBy("feature").agg(
+        F.sum(n * F.log(n)).alias(side)) for side in ("_x", "_y")]
+    joined = both.join(sides[0], "feature").join(sides[1], "feature")
+    return joined.select("feature", (F.log("t") + (F.col("xy") - F.col("_x") - F.col("_y")) / F.col("t")).alias("score"))
 
 
 def anova_f(df: DataFrame, features: list[str], label: str) -> DataFrame:

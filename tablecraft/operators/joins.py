@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablecraft.plans.groups import SIZE, join_back
+from tablecraft.plans.lineage import materialize
+
 
 def join_natural(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join on every column name the two tables share."""
@@ -69,4 +72,5 @@ def pair_equality(left: DataFrame, right: DataFrame, on: str, name: str = "match
     The row sums of the all-pairs equality matrix, without listing its pairs.
     """
     counts = right.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias(name))
-    return left.join(counts, on, "left").fillna(0, [name])
+    sizes = left.groupBy(on).agg(F.count(F.lit(1)).alias(SIZE))
+    return join_back(left, materialize(sizes.join(counts, on)), [on]).fillna(0, [name])

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +12,7 @@ from tablecraft.plans.lineage import materialize
 from tablecraft.plans.quantiles import percentiles
 
 ROUNDS = 10
+MAX_PATTERNS = 10_000
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -80,67 +79,74 @@ def censored_fill(value: Column, censored: Column, limit: Column, spread: Column
 class IterativeImputer:
     """Regress each incomplete column on the others in turn, rounds over.
 
-    Columns with fewer gaps go first; gaps start at the column mean. A round costs
-    one distributed least-squares fit per incomplete column; only coefficients
-    reach the driver. Fitted on one table, applied to any other.
+    Columns with fewer gaps go first; gaps start at the column mean. Fitted on one
+    table, applied to any other.
+
+    Among rows with the same pattern of gaps, every filled value is a linear function
+    of the values that are there. So one pass that sums products per pattern (there
+    are few patterns) is enough to run all rounds on small matrices.
     """
 
-    def __init__(self, columns: list[str], rounds: int = ROUNDS, tolerance: float = 1e-3):
+    def __init__(self, columns: list[str], rounds: int = ROUNDS, tolerance: float = 1e-10):
         self.columns, self.rounds, self.tolerance = columns, rounds, tolerance
         self.means: dict[str, float] = {}
         self.steps: list[tuple[str, np.ndarray, float]] = []
 
-    def _others(self, column: str) -> list[str]:
-        return [c for c in self.columns if c != column]
-
-    def _start(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({f"_gap_{c}": F.col(c).isNull() for c in self.columns}).withColumns(
-            {c: F.coalesce(F.col(c).cast("double"), F.lit(self.means[c])) for c in self.columns})
-
-    def _step(self, df: DataFrame, column: str, weights: np.ndarray, bias: float) -> DataFrame:
-        guess = F.lit(bias)
-        for name, weight in zip(self._others(column), weights):
-            guess = guess + F.col(name) * F.lit(float(weight))
-        return df.withColumn(column, F.when(F.col(f"_gap_{column}"), guess).otherwise(F.col(column)))
-
     def fit(self, df: DataFrame) -> IterativeImputer:
-        stats = df.agg(*[F.avg(c).alias(c) for c in self.columns],
-                       *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in self.columns],
-                       *[F.max(F.abs(F.col(c).cast("double"))).alias(f"m_{c}") for c in self.columns]).first()
-        self.means = {c: float(stats[c]) for c in self.columns}
-        gaps = sorted((c for c in self.columns if stats[f"n_{c}"]), key=lambda c: (stats[f"n_{c}"], c))
-        scale = max(stats[f"m_{c}"] for c in self.columns)
-        self.steps = []
-        rows = materialize(self._start(df.select(*self.columns)))
+        width = len(self.columns)
+        seen = [F.lit(1.0), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in self.columns]]
+        pattern = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in self.columns]).alias("pattern")
+        pairs = [F.sum(seen[i] * seen[j]) for i in range(width + 1) for j in range(i, width + 1)]
+        found = df.groupBy(pattern).agg(F.array(*pairs).alias("sums")).limit(MAX_PATTERNS + 1).collect()
+        if len(found) > MAX_PATTERNS:
+            raise ValueError(f"more than {MAX_PATTERNS} patterns of missing values")
+
+        gaps, sums = [], []
+        for r in found:
+            gaps.append(np.array([mark == "1" for mark in r.pattern]))
+            square = np.zeros((width + 1, width + 1))
+            square[np.triu_indices(width + 1)] = r.sums
+            sums.append(square + np.triu(square, 1).T)
+        rows = [s[0, 0] for s in sums]
+        present = [sum(n for n, g in zip(rows, gaps) if not g[j]) for j in range(width)]
+        means = [sum(s[0, j + 1] for s, g in zip(sums, gaps) if not g[j]) / present[j] for j in range(width)]
+        self.means = dict(zip(self.columns, means))
+
+        # filled row = maps[p] @ (1, values that are there)
+        maps = []
+        for g in gaps:
+            m = np.eye(width + 1)
+            for j in np.flatnonzero(g):
+                m[j + 1] = 0.0
+                m[j + 1, 0] = means[j]
+            maps.append(m)
+        turn = sorted((j for j in range(width) if present[j] < sum(rows)), key=lambda j: (-present[j], self.columns[j]))
+        self.steps, last = [], None
         for _ in range(self.rounds):
-            before = rows
-            for column in gaps:
-                others = self._others(column)
-                seen = VectorAssembler(inputCols=others, outputCol="_x").transform(
-                    rows.filter(~F.col(f"_gap_{column}")))
-                model = LinearRegression(featuresCol="_x", labelCol=column, solver="normal").fit(seen)
-                weights, bias = model.coefficients.toArray(), float(model.intercept)
-                self.steps.append((column, weights, bias))
-                rows = self._step(rows, column, weights, bias)
-            rows = materialize(rows)
-            if gaps and self._settled(before, gaps, scale):
+            weights = []
+            for j in turn:
+                others = [0, *[i + 1 for i in range(width) if i != j]]
+                total = sum(m @ s @ m.T for m, s, g in zip(maps, sums, gaps) if not g[j])
+                theta = np.linalg.lstsq(total[np.ix_(others, others)], total[others, j + 1], rcond=None)[0]
+                self.steps.append((self.columns[j], theta[1:], float(theta[0])))
+                weights.append(theta)
+                for m, g in zip(maps, gaps):
+                    if g[j]:
+                        m[j + 1] = theta @ m[others]
+            now = np.concatenate(weights) if weights else np.zeros(0)
+            if last is not None and np.allclose(now, last, rtol=self.tolerance, atol=0):
                 break
+            last = now
         return self
 
-    def _settled(self, before: DataFrame, gaps: list[str], scale: float) -> bool:
-        """True when replaying the last round changes no filled value noticeably."""
-        last = self.steps[-len(gaps):]
-        after = before.withColumns({f"_old_{c}": F.col(c) for c in gaps})
-        for step in last:
-            after = self._step(after, *step)
-        change = after.agg(F.max(F.greatest(*[F.abs(F.col(c) - F.col(f"_old_{c}")) for c in gaps], F.lit(0.0)))
-                           ).first()[0]
-        return change is not None and change < self.tolerance * scale
-
     def transform(self, df: DataFrame) -> DataFrame:
-        rows = self._start(df)
+        rows = df.withColumns({f"_gap_{c}": F.col(c).isNull() for c in self.columns}).withColumns(
+            {c: F.coalesce(F.col(c).cast("double"), F.lit(float(self.means[c]))) for c in self.columns})
         for column, weights, bias in self.steps:
-            rows = self._step(rows, column, weights, bias)
+            guess = F.lit(bias)
+            for name, weight in zip((c for c in self.columns if c != column), weights):
+                guess = guess + F.col(name) * F.lit(float(weight))
+            rows = rows.withColumn(column, F.when(F.col(f"_gap_{column}"), guess).otherwise(F.col(column)))
         return rows.drop(*[f"_gap_{c}" for c in self.columns])
 
 

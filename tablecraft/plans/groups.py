@@ -29,6 +29,11 @@ def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """Broadcast a side only after counting it; otherwise leave the join to Spark."""
+    return F.broadcast(df) if is_small(df, rows) else df
+
+
 def largest_group(df: DataFrame, keys: list[str]) -> int:
     """Rows in the biggest group (a partial count per key, no row is moved whole)."""
     if not keys:

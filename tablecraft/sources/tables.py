@@ -16,13 +16,14 @@ STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             infer: bool = False) -> DataFrame:
+             infer: bool = False, multiline: bool = False) -> DataFrame:
     """CSV with a header. Give a schema: inference reads the whole file twice.
 
-    NaN in floating columns becomes NULL, the only missing value used here.
+    NaN in floating columns becomes NULL, the only missing value used here. Set
+    ``multiline`` only for texts with line breaks: such a file cannot be split.
     """
     reader = spark.read.option("header", True).option("timestampFormat", STAMP)
-    reader = reader.option("escape", '"').option("multiLine", True)
+    reader = reader.option("escape", '"').option("multiLine", multiline)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", infer)
     return nan_to_null(reader.csv(path))
 

@@ -109,7 +109,7 @@ def test_from_product_and_sequences(spark, rows):
 def test_csv_keeps_texts_and_turns_nan_into_null(spark, tmp_path, rows):
     df = spark.createDataFrame([(1, 'a "quoted", text\nwith lines', float("nan")), (2, None, 1.5)], "i int, s string, x double")
     tables.sink_csv(df, str(tmp_path / "out"))
-    assert rows(tables.scan_csv(spark, str(tmp_path / "out"), df.schema)) == [
+    assert rows(tables.scan_csv(spark, str(tmp_path / "out"), df.schema, multiline=True)) == [
         (1, 'a "quoted", text\nwith lines', None), (2, None, 1.5)]
 
 
