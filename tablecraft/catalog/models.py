@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tablecraft.catalog.registry import query
 from tablecraft.ml import linear, metrics, net, trees, tune
+from tablecraft.plans.lineage import spread
 
 c = F.col
 
@@ -23,7 +24,7 @@ def lines(t):
     """Line price (in thousands) against quantity, discount, tax and line number."""
     rows = t.lineitem.select("l_orderkey", "l_suppkey", *[c(x).cast("double").alias(x) for x in X],
                              (c("l_extendedprice") / 1000).alias("label"), (c("l_orderkey") % 4).cast("int").alias("fold"))
-    return linear.with_features(rows, X)
+    return linear.with_features(spread(rows), X)
 
 
 def vectors(t, label="label"):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 import numpy as np
@@ -20,34 +21,43 @@ from tablecraft.operators.reshape import pivot_values
 from tablecraft.plans.lineage import materialize
 
 PARALLEL = 4
-Fit = Callable[[DataFrame], Callable[[DataFrame], DataFrame]]
 
 
 def _folds(df: DataFrame, fold: str) -> list:
     return pivot_values(df, fold)
 
 
+def _each(jobs: list, work: Callable) -> list:
+    """Run independent fits side by side, so that their small stages fill the cluster."""
+    with ThreadPoolExecutor(PARALLEL) as pool:
+        return list(pool.map(work, jobs))
+
+
 def cross_validate(df: DataFrame, estimator: Estimator, evaluators: dict[str, Evaluator], fold: str) -> DataFrame:
     """Train and test score of each fold (a table of folds x measures)."""
-    rows, scores = materialize(df), []
-    for k in _folds(rows, fold):
+    rows = materialize(df)
+
+    def one(k) -> list:
         train, test = rows.filter(F.col(fold) != k), rows.filter(F.col(fold) == k)
         model = estimator.fit(train)
-        for name, evaluator in evaluators.items():
-            scores.append((int(k), name, float(evaluator.evaluate(model.transform(train))),
-                           float(evaluator.evaluate(model.transform(test)))))
+        return [(int(k), name, float(evaluator.evaluate(model.transform(train))),
+                 float(evaluator.evaluate(model.transform(test)))) for name, evaluator in evaluators.items()]
+
+    scores = [score for part in _each(_folds(rows, fold), one) for score in part]
     return df.sparkSession.createDataFrame(scores, "fold int, measure string, train double, test double")
 
 
 def cross_predict(df: DataFrame, estimator: Estimator, fold: str, column: str = "prediction",
                   name: str = "prediction") -> DataFrame:
     """Each row predicted by the model that did not see its fold."""
-    rows, parts = materialize(df), []
-    for k in _folds(rows, fold):
+    rows = materialize(df)
+
+    def one(k) -> DataFrame:
         model = estimator.fit(rows.filter(F.col(fold) != k))
         scored = model.transform(rows.filter(F.col(fold) == k))
-        parts.append(scored.select(*df.columns, F.col(column).alias(name)))
-    return reduce(DataFrame.unionByName, parts)
+        return scored.select(*df.columns, F.col(column).alias(name))
+
+    return reduce(DataFrame.unionByName, _each(_folds(rows, fold), one))
 
 
 def _search(df: DataFrame, estimator: Estimator, grid: list, evaluator: Evaluator, fold: str) -> tuple[DataFrame, object]:
@@ -100,12 +110,14 @@ def learning_curve(df: DataFrame, estimator: Estimator, evaluator: Evaluator, ke
     """Train and validation score for growing shares of the training rows."""
     rows = materialize(df.withColumn("_b", hash_bucket(key, 100, seed)))
     train, valid = rows.filter("_b >= 20"), rows.filter("_b < 20")
-    scores = []
-    for step in range(1, steps + 1):
+
+    def one(step: int) -> tuple:
         part = train.filter(F.col("_b") < 20 + 80 * step / steps)
         model = estimator.fit(part)
-        scores.append((step / steps, part.count(), float(evaluator.evaluate(model.transform(part))),
-                       float(evaluator.evaluate(model.transform(valid)))))
+        return (step / steps, part.count(), float(evaluator.evaluate(model.transform(part))),
+                float(evaluator.evaluate(model.transform(valid))))
+
+    scores = _each(list(range(1, steps + 1)), one)
     return df.sparkSession.createDataFrame(scores, "share double, rows long, train double, validation double")
 
 
