@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -26,8 +27,8 @@ def one_hot(df: DataFrame, columns: list[str], fitted_on: list[DataFrame] | None
     """A 0/1 column ``column_level`` per level seen in any of the fitting tables."""
     out = df
     for column in columns:
-        seen = [x.select(column) for x in (fitted_on or [df])]
-        levels = pivot_values(seen[0] if len(seen) == 1 else seen[0].union(seen[1]), column)
+        seen = reduce(DataFrame.union, [x.select(column) for x in (fitted_on or [df])])
+        levels = pivot_values(seen, column)
         out = out.withColumns({f"{column}_{v}": F.coalesce(F.col(column) == F.lit(v), F.lit(False)).cast("int")
                                for v in levels})
     return out.drop(*columns)

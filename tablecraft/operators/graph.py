@@ -9,14 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablecraft.plans.groups import SIZE, join_back
 from tablecraft.plans.lineage import materialize
 
 
 def comembership(df: DataFrame, member: str, group: str) -> DataFrame:
     """Distinct (node, list_id) rows of lists with two members or more, and the list size."""
-    rows = df.select(F.col(member).alias("node"), F.col(group).alias("list_id")).dropna().distinct()
+    rows = materialize(df.select(F.col(member).alias("node"), F.col(group).alias("list_id")).dropna().distinct())
     sizes = rows.groupBy("list_id").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    return rows.join(sizes, "list_id").select("node", "list_id", "members")
+    sized = materialize(sizes.withColumn(SIZE, F.col("members")))
+    return join_back(rows, sized, ["list_id"], how="inner").select("node", "list_id", "members")
 
 
 def edges_as_lists(edges: DataFrame) -> DataFrame:
