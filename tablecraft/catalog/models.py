@@ -122,6 +122,13 @@ def fit_logistic(t):
     return predicted(model, rows, "vec_id")
 
 
+@query()
+def fit_logistic_cv(t):
+    rows = vectors(t, "half")
+    table, _ = tune.logistic_cv(rows, "fold", [0.01, 1.0, 100.0], MulticlassClassificationEvaluator(metricName="accuracy"), 20)
+    return table
+
+
 def labelled(t):
     rows = t.documents.join(t.labels, "doc_id").select(
         "doc_id", F.log1p("n_chars").alias("size"), (c("lang") == "en").cast("double").alias("english"),

@@ -13,7 +13,7 @@ from pyspark.sql.types import StringType
 from tablecraft.operators.reshape import pivot_values
 
 CASED = r"[\p{Lu}\p{Ll}\p{Lt}]"
-SPACE = r"\s"
+SPACE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\p{Z}]"
 
 
 def capitalize(s: Column) -> Column:
@@ -87,7 +87,7 @@ PREDICATES = {
     "isdecimal": r"\A\p{Nd}+\z",
     "isdigit": r"\A[\p{Nd}\x{B2}\x{B3}\x{B9}\x{2070}-\x{2079}\x{2080}-\x{2089}]+\z",
     "isnumeric": r"\A\p{N}+\z",
-    "isspace": r"\A\s+\z",
+    "isspace": rf"\A{SPACE}+\z",
 }
 
 

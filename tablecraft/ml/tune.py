@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablecraft.ml.folds import hash_bucket
-from tablecraft.ml.linear import Products, products, with_features
+from tablecraft.ml.linear import Products, logistic, products, with_features
 from tablecraft.operators.reshape import pivot_values
 from tablecraft.plans.lineage import materialize
 
@@ -95,6 +95,12 @@ def random_search(df: DataFrame, estimator: Estimator, grid: list[dict], evaluat
     return _search(df, estimator, random.Random(seed).sample(grid, min(tries, len(grid))), evaluator, fold)
 
 
+def logistic_cv(df: DataFrame, fold: str, strengths: list[float], evaluator: Evaluator, steps: int = 100):
+    """Logistic regression with the inverse penalty chosen by cross-validation: (table, best model)."""
+    rows, base = df.count(), logistic(1.0, 1, steps)
+    return _search(df, base, [{base.regParam: 1.0 / (c * rows)} for c in strengths], evaluator, fold)
+
+
 def stack_models(df: DataFrame, estimators: dict[str, Estimator], label: str, fold: str) -> tuple[object, DataFrame]:
     """Linear model over out-of-fold predictions of the base models; returns it and its predictions."""
     rows = df

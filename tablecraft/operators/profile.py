@@ -38,10 +38,16 @@ def describe_table(df: DataFrame) -> DataFrame:
                         (F.col("_rows") - F.col(f"n_{column}")).alias("missing"), *figures)
 
     table = _stack(stats, [one(c) for c in df.columns])
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in numeric]).unpivot([], numeric, "column", "value")
     copies = df.groupBy(*df.columns).agg((F.count(F.lit(1)) - 1).alias("_extra"))
-    return (table.join(percentiles(long, ["column"], "value", QUARTERS), "column", "left")
-            .withColumn("duplicates", copies.agg(F.sum("_extra")).scalar()))
+    table = table.withColumn("duplicates", copies.agg(F.coalesce(F.sum("_extra"), F.lit(0))).scalar())
+    if not numeric:
+        return table.withColumns({q: F.lit(None).cast("double") for q in QUARTERS})
+    return table.join(percentiles(_numbers(df, numeric), ["column"], "value", QUARTERS), "column", "left")
+
+
+def _numbers(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value) rows of numeric columns."""
+    return df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column", "value")
 
 
 def skew_kurtosis(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -67,9 +73,7 @@ def skewed_columns(df: DataFrame, columns: list[str], limit: float = 0.9) -> Dat
 
 def high_cardinality_numeric(df: DataFrame, least: int = 120) -> DataFrame:
     """Numeric columns with at least ``least`` different values."""
-    numeric = columns_of(df, "numeric")
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in numeric]).unpivot([], numeric, "column", "value")
-    counts = long.filter("value IS NOT NULL").distinct().groupBy("column").agg(F.count("*").alias("distinct_values"))
+    counts = _numbers(df, columns_of(df, "numeric")).filter("value IS NOT NULL").distinct().groupBy("column").agg(F.count("*").alias("distinct_values"))
     return counts.filter(F.col("distinct_values") >= least)
 
 

@@ -215,6 +215,7 @@ def test_rank_and_describe(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (None, "y")], "n int, s string")
     got = {r.column: r for r in profile.describe_table(df).collect()}
     assert (got["n"].missing, got["n"]["mean"], got["n"].duplicates, got["s"].rows) == (1, 1.0, 1, 3)
+    assert [r.dtype for r in profile.describe_table(df.select("s")).collect()] == ["string"]
 
 
 def test_correlation_p_values():
