@@ -167,7 +167,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str) -> DataFrame:
     """Add ``weight``; the classes, few, become a literal condition."""
-    weights = {r[0]: r[1] for r in class_weights(df, label).collect()}
+    weights = {r[0]: r[1] for r in class_weights(df, label).limit(MAX_CLASSES + 1).collect()}
+    if len(weights) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
     weight = F.lit(None).cast("double")
     for value, w in weights.items():
         weight = F.when(F.col(label) == value, F.lit(w)).otherwise(weight)

@@ -139,7 +139,7 @@ def best_iteration(train: DataFrame, valid: DataFrame, label: str, most: int = 2
     def boost(n: int) -> GBTRegressor:
         return GBTRegressor(maxIter=n, maxDepth=depth, labelCol=label, seed=0)
 
-    errors = boost(most).fit(train).evaluateEachIteration(valid.withColumnRenamed(label, label), "squared")
+    errors = boost(most).fit(train).evaluateEachIteration(valid, "squared")
     best = int(np.argmin(errors)) + 1
     return errors, best, boost(best).fit(train)
 

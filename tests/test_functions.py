@@ -15,7 +15,7 @@ from tablecraft.functions import dates as dt
 from tablecraft.functions import mathx as mx
 from tablecraft.functions import strings as sx
 
-WORDS = ["vivek", "Singh", "", "  sol anki88 ", "ÉCOLE été", "-42", "Hello World", "123", "²", "a", "x_y", "They'Re", "\t\n", "ABC", "lower case", "\u00a0x\u2003", "\u2003"]
+WORDS = ["river", "Stone", "", "  two words88 ", "ÉCOLE été", "-42", "Hello World", "123", "²", "a", "x_y", "They'Re", "\t\n", "ABC", "lower case", "\u00a0x\u2003", "\u2003"]
 
 
 @pytest.fixture(scope="module")
