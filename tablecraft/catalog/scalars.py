@@ -174,10 +174,7 @@ def str_pad(t):
                          st.center(n, 15, "*").alias("ce"), st.zfill(signed, 6).alias("zf"))
 
 
-_PADDED = "' ' || chr(9) || s_name || '  ' || chr(10)"
-
-
-@query(f"""SELECT s_suppkey, s_name AS both, s_name || '  ' || chr(10) AS l, ' ' || chr(9) || s_name AS r FROM supplier""")
+@query("""SELECT s_suppkey, s_name AS both, s_name || '  ' || chr(10) AS l, ' ' || chr(9) || s_name AS r FROM supplier""")
 def str_strip(t):
     x = F.concat(F.lit(" \t"), "s_name", F.lit("  \n"))
     return t.supplier.select("s_suppkey", st.strip(x).alias("both"), st.lstrip(x).alias("l"), st.rstrip(x).alias("r"))

@@ -73,7 +73,8 @@ def skewed_columns(df: DataFrame, columns: list[str], limit: float = 0.9) -> Dat
 
 def high_cardinality_numeric(df: DataFrame, least: int = 120) -> DataFrame:
     """Numeric columns with at least ``least`` different values."""
-    counts = _numbers(df, columns_of(df, "numeric")).filter("value IS NOT NULL").distinct().groupBy("column").agg(F.count("*").alias("distinct_values"))
+    values = _numbers(df, columns_of(df, "numeric")).filter("value IS NOT NULL").distinct()
+    counts = values.groupBy("column").agg(F.count("*").alias("distinct_values"))
     return counts.filter(F.col("distinct_values") >= least)
 
 

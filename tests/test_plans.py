@@ -1,5 +1,7 @@
 """Plans that split huge groups must agree with the plain ones."""
 
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -95,3 +97,23 @@ def test_top_k_per_group_large_k_numbers_in_pieces(hot):
     got = top_k_per_group(hot, ["k"], ["id"], 1001, "place")
     want = hot.groupBy("k").count().agg(F.sum(F.least("count", F.lit(1001)))).first()[0]
     assert got.count() == want
+
+
+def fake_session(master, current=None, named=None):
+    chosen = []
+    context = SimpleNamespace(master=master, getCheckpointDir=lambda: chosen[-1] if chosen else current,
+                              setCheckpointDir=chosen.append)
+    return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: named or default)), chosen
+
+
+def test_checkpoint_folder_comes_from_the_cluster():
+    session, chosen = fake_session("spark://host:7077", named="hdfs://shared/checkpoints")
+    assert checkpoint_home(session) == "hdfs://shared/checkpoints" and chosen == ["hdfs://shared/checkpoints"]
+    session, chosen = fake_session("yarn", current="hdfs://already")
+    assert checkpoint_home(session) == "hdfs://already" and not chosen
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    session, _ = fake_session("yarn")
+    with pytest.raises(RuntimeError):
+        checkpoint_home(session)
