@@ -6,7 +6,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Lo
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PolynomialExpansion, StandardScaler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
@@ -115,8 +115,29 @@ def fit_elastic_net(t):
 
 # classifiers
 
-@query()
+# With one indicator per group and no penalty, the fitted probability of a class is its
+# share in the group, which SQL can state. Wider models are tested in tests/test_models.py.
+
+def graded(t):
+    rows = t.documents.join(t.labels, "doc_id").select(
+        "doc_id", (c("lang") == "en").cast("double").alias("english"), c("quality").cast("double").alias("label"))
+    return linear.with_features(rows, ["english"])
+
+
+def probability_of(model, rows, classes, *keep):
+    p = vector_to_array("probability")
+    return model.transform(rows).select(*keep, *[F.round(F.get(p, F.lit(k)), 4).alias(f"p{k}") for k in classes])
+
+
+@query("SELECT doc_id, round(avg(quality) OVER (PARTITION BY lang = 'en'), 4) AS p1 FROM documents JOIN labels USING (doc_id)")
 def fit_logistic(t):
+    rows = graded(t)
+    model = LogisticRegression(maxIter=200, tol=1e-12).fit(rows)
+    return probability_of(model, rows, [1], "doc_id")
+
+
+@query()
+def fit_logistic_penalty(t):
     rows = vectors(t, "half")
     model = linear.logistic(10.0, rows.count(), 30).fit(rows)
     return predicted(model, rows, "vec_id")
@@ -136,11 +157,12 @@ def labelled(t):
     return linear.with_features(rows, ["size", "english", "lines"])
 
 
-@query()
+@query("""WITH d AS (SELECT doc_id, lang = 'en' AS g, quality AS y FROM documents JOIN labels USING (doc_id)), w AS (SELECT y, (SELECT count(*) FROM d) / (2.0 * count(*)) AS w FROM d GROUP BY 1)
+SELECT doc_id, round(sum(w * y) OVER (PARTITION BY g) / sum(w) OVER (PARTITION BY g), 4) AS p1, round(w, 6) AS weight FROM d JOIN w USING (y)""")
 def fit_logistic_balanced(t):
-    rows = linear.with_class_weights(labelled(t), "label")
-    model = linear.logistic(1.0, rows.count(), 30, weightCol="weight").fit(rows)
-    return predicted(model, rows, "doc_id", "weight")
+    rows = linear.with_class_weights(graded(t), "label")
+    model = LogisticRegression(maxIter=200, tol=1e-12, weightCol="weight").fit(rows)
+    return probability_of(model, rows, [1], "doc_id", F.round("weight", 6).alias("weight"))
 
 
 @query("SELECT quality, round((SELECT count(*) FROM labels) / ((SELECT count(DISTINCT quality) FROM labels) * count(*)), 6) AS weight FROM labels GROUP BY 1")
@@ -148,24 +170,39 @@ def class_weights(t):
     return linear.class_weights(t.labels, "quality").withColumn("weight", F.round("weight", 6))
 
 
-@query()
+def ranked(t):
+    """Order status (0, 1, 2) by indicators of the order priority."""
+    levels = ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    status = F.when(c("o_orderstatus") == "F", 0.0).when(c("o_orderstatus") == "O", 1.0).otherwise(2.0)
+    rows = t.orders.select("o_orderkey", status.alias("label"),
+                           *[(c("o_orderpriority") == v).cast("double").alias(f"x{i}") for i, v in enumerate(levels)])
+    return linear.with_features(rows, ["x0", "x1", "x2", "x3"])
+
+
+_SHARES = """SELECT o_orderkey, o_orderstatus, avg((o_orderstatus = 'F')::INTEGER) OVER w AS f, avg((o_orderstatus = 'O')::INTEGER) OVER w AS o,
+avg((o_orderstatus = 'P')::INTEGER) OVER w AS p FROM orders WINDOW w AS (PARTITION BY o_orderpriority)"""
+_WINNER = f"SELECT o_orderkey, CASE WHEN f > o AND f > p THEN 0.0 WHEN o > p THEN 1.0 ELSE 2.0 END::DOUBLE AS prediction FROM ({_SHARES})"
+
+
+@query(f"SELECT o_orderkey, round(f, 4) AS p0, round(o, 4) AS p1, round(p, 4) AS p2 FROM ({_SHARES})")
 def fit_softmax(t):
-    rows = vectors(t)
-    return predicted(linear.logistic(10.0, rows.count(), 20, family="multinomial").fit(rows), rows, "vec_id")
+    rows = ranked(t)
+    model = LogisticRegression(family="multinomial", maxIter=300, tol=1e-12).fit(rows)
+    return probability_of(model, rows, [0, 1, 2], "o_orderkey")
 
 
-@query()
+@query(_WINNER)
 def fit_one_vs_rest(t):
-    rows = vectors(t).drop("fold")
-    base = LogisticRegression(maxIter=10, regParam=0.01)
-    return predicted(OneVsRest(classifier=base, parallelism=4).fit(rows), rows, "vec_id")
+    rows = ranked(t)
+    model = OneVsRest(classifier=LogisticRegression(maxIter=100, tol=1e-12), parallelism=3).fit(rows)
+    return model.transform(rows).select("o_orderkey", "prediction")
 
 
-@query()
+@query(_WINNER)
 def fit_one_vs_one(t):
-    rows = vectors(t)
-    model = linear.OneVsOne(LogisticRegression(maxIter=5, regParam=0.01)).fit(rows)
-    return model.transform(rows).select("vec_id", "label", "prediction")
+    rows = ranked(t)
+    model = linear.OneVsOne(LogisticRegression(maxIter=100, tol=1e-12)).fit(rows)
+    return model.transform(rows).select("o_orderkey", "prediction")
 
 
 @query()
@@ -185,16 +222,39 @@ def fit_poly_classifier(t):
 
 # trees
 
-@query()
+# a tree of one split over columns with few values: SQL tries every split
+
+_SPLITS = """WITH d AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity AS q, l_linenumber::DOUBLE AS n, l_extendedprice / 1000 AS y, (l_quantity * l_linenumber > 80)::INTEGER::DOUBLE AS k FROM lineitem),
+x AS (SELECT 'q' AS f, q AS v, y, k FROM d UNION ALL SELECT 'n', n, y, k FROM d),
+g AS (SELECT f, v, count(*)::DOUBLE AS m, sum({t}) AS s FROM x GROUP BY ALL),
+r AS (SELECT f, v, sum(m) OVER w AS m, sum(s) OVER w AS s, sum(m) OVER (PARTITION BY f) AS mt, sum(s) OVER (PARTITION BY f) AS st FROM g WINDOW w AS (PARTITION BY f ORDER BY v)),
+b AS (SELECT f, v, s / m AS low, (st - s) / (mt - m) AS high FROM r WHERE m < mt ORDER BY s * s / m + (st - s) * (st - s) / (mt - m) DESC LIMIT 1)
+SELECT l_orderkey, l_linenumber, l_suppkey, round(CASE WHEN (CASE f WHEN 'q' THEN q ELSE n END) <= v THEN low ELSE high END, 4) AS {c} FROM d, b"""
+
+
+def stump_rows(t, label):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", c("l_linenumber").cast("double").alias("n"),
+                             label.alias("label"))
+    return linear.with_features(rows, ["l_quantity", "n"])
+
+
+@query(_SPLITS.format(t="k", c="p1"))
 def fit_tree_cls(t):
-    rows = vectors(t)
-    return predicted(DecisionTreeClassifier(maxDepth=6, impurity="gini").fit(rows), rows, "vec_id")
+    rows = stump_rows(t, (c("l_quantity") * c("l_linenumber") > 80).cast("double"))
+    model = DecisionTreeClassifier(maxDepth=1, maxBins=64, impurity="gini").fit(rows)
+    return probability_of(model, rows, [1], "l_orderkey", "l_linenumber", "l_suppkey")
 
 
-@query()
+@query(_SPLITS.format(t="y", c="prediction"))
 def fit_tree_reg(t):
-    rows = lines(t)
-    return predicted(DecisionTreeRegressor(maxDepth=4).fit(rows), rows, "l_orderkey", "l_linenumber")
+    rows = stump_rows(t, c("l_extendedprice") / 1000)
+    return _fitted(DecisionTreeRegressor(maxDepth=1, maxBins=64), rows)
+
+
+@query()
+def fit_tree_deep(t):
+    rows = vectors(t)
+    return predicted(DecisionTreeClassifier(maxDepth=6, impurity="entropy").fit(rows), rows, "vec_id")
 
 
 @query()
@@ -219,10 +279,23 @@ def fit_gbt(t):
     return prices.unionByName(predicted(cls, halves, c("vec_id").alias("id")).withColumn("model", F.lit("classes")))
 
 
-@query()
+def _residual_sql(trees):
+    """Stump after stump in SQL; each looks for the best split of what is left."""
+    parts = ["d0 AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_quantity AS q, l_linenumber::DOUBLE AS n, l_quantity * l_linenumber / 10 AS left_over, 0.0::DOUBLE AS prediction FROM lineitem)"]
+    for i in range(trees):
+        parts += [f"x{i} AS (SELECT 'q' AS f, q AS v, left_over AS y FROM d{i} UNION ALL SELECT 'n', n, left_over FROM d{i})",
+                  f"g{i} AS (SELECT f, v, count(*)::DOUBLE AS m, sum(y) AS s FROM x{i} GROUP BY ALL)",
+                  f"r{i} AS (SELECT f, v, sum(m) OVER w AS m, sum(s) OVER w AS s, sum(m) OVER (PARTITION BY f) AS mt, sum(s) OVER (PARTITION BY f) AS st FROM g{i} WINDOW w AS (PARTITION BY f ORDER BY v))",
+                  f"b{i} AS (SELECT f, v, s / m AS low, (st - s) / (mt - m) AS high FROM r{i} WHERE m < mt ORDER BY s * s / m + (st - s) * (st - s) / (mt - m) DESC LIMIT 1)",
+                  f"p{i} AS (SELECT d{i}.*, CASE WHEN (CASE f WHEN 'q' THEN q ELSE n END) <= v THEN low ELSE high END AS step FROM d{i}, b{i})",
+                  f"d{i + 1} AS (SELECT l_orderkey, l_linenumber, l_suppkey, q, n, left_over - step AS left_over, prediction + step AS prediction FROM p{i})"]
+    return "WITH " + ",\n".join(parts) + f"\nSELECT l_orderkey, l_linenumber, l_suppkey, round(prediction, 4) AS prediction FROM d{trees}"
+
+
+@query(_residual_sql(3))
 def gbt_by_residuals(t):
-    _, rows = trees.residual_trees(lines(t), "label", 3, 2)
-    return rows.select("l_orderkey", "l_linenumber", "label", "prediction")
+    _, rows = trees.residual_trees(stump_rows(t, c("l_quantity") * c("l_linenumber") / 10), "label", 3, 1)
+    return rows.select("l_orderkey", "l_linenumber", "l_suppkey", F.round("prediction", 4).alias("prediction"))
 
 
 @query()
@@ -364,9 +437,14 @@ def importance_table(t):
     return tune.importance_table(rows, X, model.featureImportances.toArray())
 
 
-@query()
+@query("WITH d AS (SELECT *, l_extendedprice / 1000 AS y FROM lineitem), r AS (" + " UNION ALL ".join(
+    f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM d" for a in [*X, "y"] for b in [*X, "y"])
+    + """), v AS (SELECT var_pop(y) AS v FROM d), s1 AS (SELECT a, r FROM r WHERE b = 'y' AND a <> 'y' ORDER BY r * r DESC LIMIT 1),
+s2 AS (SELECT y2.a, (s1.r ** 2 + y2.r ** 2 - 2 * s1.r * y2.r * m.r) / (1 - m.r ** 2) AS r2 FROM s1 JOIN r y2 ON y2.b = 'y' AND y2.a NOT IN ('y', s1.a)
+JOIN r m ON m.a = s1.a AND m.b = y2.a ORDER BY r2 DESC LIMIT 1)
+SELECT 1 AS step, a AS "column", round(v * (1 - r * r), 6) AS mse FROM s1, v UNION ALL SELECT 2, a, round(v * (1 - r2), 6) FROM s2, v""")
 def greedy_select(t):
-    return tune.greedy_select(lines(t), X, "label", 3)
+    return tune.greedy_select(lines(t), X, "label", 2).withColumn("mse", F.round("mse", 6))
 
 
 _FOLDS = _ONE + """, m AS (SELECT f.fold AS out, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM (SELECT DISTINCT fold FROM d) f JOIN d ON d.fold <> f.fold GROUP BY 1)"""
@@ -385,15 +463,28 @@ def cross_predict(t):
     return out.select("l_orderkey", "l_linenumber", "l_suppkey", F.round("prediction", 4).alias("prediction"))
 
 
-@query()
+_ALPHAS = [0.0, 100.0, 1000.0]
+
+
+@query(_ONE.replace("l_extendedprice / 1000 AS y", "l_extendedprice / 1000 + l_quantity AS y") + f""", k AS (SELECT unnest({_ALPHAS}::DOUBLE[]) AS alpha),
+m AS (SELECT f.fold AS out, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS sxy, var_pop(x) AS sxx, stddev_pop(y) AS sy FROM (SELECT DISTINCT fold FROM d) f JOIN d ON d.fold <> f.fold GROUP BY 1),
+e AS (SELECT alpha, out, sqrt(avg((y - my - sxy / (sxx + alpha * (SELECT stddev_pop(y) FROM d) / sy) * (x - mx)) ** 2)) AS rmse FROM k, m JOIN d ON fold = out GROUP BY 1, 2)
+SELECT round(avg(rmse), 6) AS mean, round(stddev_pop(rmse), 6) AS std, row_number() OVER (ORDER BY avg(rmse))::INTEGER AS place FROM e GROUP BY alpha""")
 def grid_search(t):
+    """Ridge strengths by cross-validation (Spark applies the penalty relative to each fold's deviation)."""
+    rows = one_feature(t).withColumn("label", c("label") + c("l_quantity"))
+    model, spread = linear.elastic_net(rows, 1.0, 0.0), linear.label_stats(rows)[1]
+    grid = [dict(zip((model.regParam, model.elasticNetParam), linear.penalty(a, 0.0, spread))) for a in _ALPHAS]
+    table, _ = tune.grid_search(rows, model, grid, _rmse(), "fold")
+    return table.select(F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "place")
+
+
+@query()
+def grid_search_many(t):
     rows = lines(t).withColumn("label", F.log("label"))
     model, spread = linear.elastic_net(rows, 0.1, 0.5, 50), linear.label_stats(rows)[1]
-    grid = []
-    for alpha in (0.0017, 0.05):
-        for share in (0.0, 0.35):
-            strength, ratio = linear.penalty(alpha, share, spread)
-            grid.append({model.regParam: strength, model.elasticNetParam: ratio})
+    grid = [dict(zip((model.regParam, model.elasticNetParam), linear.penalty(alpha, share, spread)))
+            for alpha in (0.0017, 0.05) for share in (0.0, 0.35)]
     return tune.grid_search(rows, model, grid, metrics.RmsleEvaluator(), "fold")[0]
 
 

@@ -121,13 +121,13 @@ class BoostedTrees:
         return out.withColumn("prediction", -F.array_max(tally)["v"]).drop(*[f"_v{m}" for m in range(len(self.models))])
 
 
-def residual_trees(df: DataFrame, label: str, trees: int = 3, depth: int = 2) -> tuple[list, DataFrame]:
+def residual_trees(df: DataFrame, label: str, trees: int = 3, depth: int = 2, bins: int = 64) -> tuple[list, DataFrame]:
     """Each tree learns what the sum of the earlier ones leaves; returns trees and predictions."""
     rows = df.withColumns({"_rest": F.col(label).cast("double"), "prediction": F.lit(0.0)})
     fitted = []
     for _ in range(trees):
         rows = materialize(rows)
-        model = DecisionTreeRegressor(maxDepth=depth, labelCol="_rest", predictionCol="_step").fit(rows)
+        model = DecisionTreeRegressor(maxDepth=depth, maxBins=bins, labelCol="_rest", predictionCol="_step").fit(rows)
         fitted.append(model)
         rows = model.transform(rows).withColumns({
             "prediction": F.col("prediction") + F.col("_step"), "_rest": F.col("_rest") - F.col("_step")}).drop("_step")
