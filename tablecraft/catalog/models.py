@@ -235,7 +235,7 @@ SELECT l_orderkey, l_linenumber, l_suppkey, round(CASE WHEN (CASE f WHEN 'q' THE
 def stump_rows(t, label):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", c("l_linenumber").cast("double").alias("n"),
                              label.alias("label"))
-    return linear.with_features(rows, ["l_quantity", "n"])
+    return linear.with_features(spread(rows), ["l_quantity", "n"])
 
 
 @query(_SPLITS.format(t="k", c="p1"))
