@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablecraft.llm import quality
 from tablecraft.llm.simhash import near_copies
 from tablecraft.session import table
 
@@ -18,3 +19,12 @@ def query(build):
 @query
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLE["op5_quality"] = quality.SQL
