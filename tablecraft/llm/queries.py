@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecraft.llm import quality
+from tablecraft.llm import pii, quality
 from tablecraft.llm.simhash import near_copies
 from tablecraft.session import table
 
@@ -28,3 +28,8 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op5_quality"] = quality.SQL
+
+
+@query
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest(table(spark, folder, "documents"))
