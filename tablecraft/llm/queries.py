@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecraft.llm import pii, quality
+from tablecraft.llm import pii, quality, toxicity
 from tablecraft.llm.simhash import near_copies
 from tablecraft.session import table
 
@@ -33,3 +33,8 @@ ORACLE["op5_quality"] = quality.SQL
 @query
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest(table(spark, folder, "documents"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_texts(table(spark, folder, "documents"), table(spark, folder, "labels"))
