@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablecraft.llm import pii, quality, toxicity
+from tablecraft.llm import packing, pii, quality, toxicity
 from tablecraft.llm.simhash import near_copies
 from tablecraft.session import table
 
 QUERIES, ORACLE = {}, {}
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of an installed public tokenizer; every executor has the same files."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(build):
     QUERIES[build.__name__] = build
     return build
@@ -38,3 +45,8 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_texts(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
