@@ -4,20 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tablecraft.llm import packing, pii, quality, toxicity
+from tablecraft.llm.resources import tokenizer_file
 from tablecraft.llm.simhash import near_copies
 from tablecraft.session import table
 
 QUERIES, ORACLE = {}, {}
 
 
-def tokenizer_file(name: str) -> str:
-    """Path of an installed public tokenizer; every executor has the same files."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def query(build):
     QUERIES[build.__name__] = build
     return build
@@ -50,3 +45,12 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablecraft.llm.packing import ChunkTokenizer, best_fit, pack, pack_documents
-from tablecraft.llm.queries import tokenizer_file
+from tablecraft.llm.resources import tokenizer_file
 
 PATH = tokenizer_file("word_bpe_49k.json")
 
