@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tablecraft.llm import packing, pii, quality, toxicity
+from tablecraft.llm import packing, pii, quality, toxicity, urlfilter
 from tablecraft.llm.resources import tokenizer_file
 from tablecraft.llm.simhash import near_copies
 from tablecraft.session import table
@@ -54,3 +54,11 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+@query
+def op2_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urlfilter.judge_urls(table(spark, folder, "pages"), urlfilter.RULES)
+
+
+ORACLE["op2_urls"] = urlfilter.SQL
