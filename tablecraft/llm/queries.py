@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tablecraft.llm import packing, pii, quality, toxicity, urlfilter
+from tablecraft.llm import packing, pii, quality, toxicity, urlfilter, warc
 from tablecraft.llm.resources import tokenizer_file
 from tablecraft.llm.simhash import near_copies
+from tablecraft.plans.lineage import checkpoint_home
 from tablecraft.session import table
 
 QUERIES, ORACLE = {}, {}
@@ -47,6 +50,16 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+@query
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = f"{checkpoint_home(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
+    warc.write_pages(table(spark, folder, "pages"), archives)
+    return warc.page_captures(warc.assemble(warc.read_records(spark, archives, payloads=False)))
+
+
+ORACLE["op8_warc"] = warc.SQL
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
@@ -62,3 +75,4 @@ def op2_urls(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op2_urls"] = urlfilter.SQL
+
