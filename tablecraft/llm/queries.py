@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablecraft.llm import neighbours, packing, pii, quality, toxicity, urlfilter, warc
+from tablecraft.llm import lm, neighbours, packing, pii, quality, toxicity, urlfilter, warc
 from tablecraft.llm.resources import tokenizer_file
 from tablecraft.llm.simhash import near_copies
 from tablecraft.plans.lineage import checkpoint_home
@@ -82,3 +82,8 @@ ORACLE["op2_urls"] = urlfilter.SQL
 @query
 def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op10_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_documents(table(spark, folder, "documents"))
