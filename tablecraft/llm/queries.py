@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablecraft.llm import lm, neighbours, packing, pii, quality, toxicity, urlfilter, warc
+from tablecraft.llm import lm, neighbours, packing, pii, quality, sampling, toxicity, urlfilter, warc
 from tablecraft.llm.resources import tokenizer_file
 from tablecraft.llm.simhash import near_copies
 from tablecraft.plans.lineage import checkpoint_home
@@ -87,3 +87,8 @@ def op6_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_lm(spark: SparkSession, folder: str) -> DataFrame:
     return lm.score_documents(table(spark, folder, "documents"))
+
+
+@query
+def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return sampling.digest(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
