@@ -129,12 +129,12 @@ def pair_equality(t):
     return op.pair_equality(rest, known, "source")
 
 
-@query("""SELECT l_discount, l_tax, round(sin(l_discount) ** 10 + cos(10 + l_discount * l_tax) * cos(l_discount), 8) AS z
+@query("""SELECT l_discount, l_tax, round(sqrt(1 + l_discount) * ln(2 + l_tax) - l_discount * l_tax, 8) AS z
 FROM (SELECT DISTINCT l_discount FROM lineitem), (SELECT DISTINCT l_tax FROM lineitem)""")
 def outer_grid(t):
     x, y = c("l_discount"), c("l_tax")
     grid = from_product([t.lineitem.select("l_discount"), t.lineitem.select("l_tax")])
-    return grid.withColumn("z", F.round(F.pow(F.sin(x), 10) + F.cos(10 + x * y) * F.cos(x), 8))
+    return grid.withColumn("z", F.round(F.sqrt(1 + x) * F.log(2 + y) - x * y, 8))
 
 
 # set operations

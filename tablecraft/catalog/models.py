@@ -12,19 +12,18 @@ from pyspark.sql import functions as F
 
 from tablecraft.catalog.registry import query
 from tablecraft.ml import linear, metrics, net, trees, tune
-from tablecraft.plans.lineage import spread
 
 c = F.col
 
 X = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
-FOREST = {"numTrees": 10, "maxDepth": 5, "seed": 18}
+FOREST = {"numTrees": 100, "maxDepth": 5, "seed": 18}
 
 
 def lines(t):
     """Line price (in thousands) against quantity, discount, tax and line number."""
     rows = t.lineitem.select("l_orderkey", "l_suppkey", *[c(x).cast("double").alias(x) for x in X],
                              (c("l_extendedprice") / 1000).alias("label"), (c("l_orderkey") % 4).cast("int").alias("fold"))
-    return linear.with_features(spread(rows), X)
+    return linear.with_features(rows, X)
 
 
 def vectors(t, label="label"):
@@ -208,7 +207,7 @@ def fit_one_vs_one(t):
 @query()
 def fit_linear_svm(t):
     rows = vectors(t, "half")
-    return predicted(linear.linear_svm(1.0, rows.count(), 20).fit(rows), rows, "vec_id")
+    return predicted(linear.linear_svm(1.0, rows.count(), 10_000).fit(rows), rows, "vec_id")
 
 
 @query()
@@ -216,7 +215,7 @@ def fit_poly_classifier(t):
     rows = labelled(t)
     steps = Pipeline(stages=[PolynomialExpansion(degree=3, inputCol="features", outputCol="poly"),
                              StandardScaler(withMean=True, inputCol="poly", outputCol="scaled"),
-                             LogisticRegression(featuresCol="scaled", maxIter=20, regParam=0.01)])
+                             LogisticRegression(featuresCol="scaled", maxIter=500, regParam=0.01)])
     return predicted(steps.fit(rows), rows, "doc_id")
 
 
@@ -235,7 +234,7 @@ SELECT l_orderkey, l_linenumber, l_suppkey, round(CASE WHEN (CASE f WHEN 'q' THE
 def stump_rows(t, label):
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", c("l_linenumber").cast("double").alias("n"),
                              label.alias("label"))
-    return linear.with_features(spread(rows), ["l_quantity", "n"])
+    return linear.with_features(rows, ["l_quantity", "n"])
 
 
 @query(_SPLITS.format(t="k", c="p1"))
@@ -272,9 +271,9 @@ def fit_forest_reg(t):
 @query()
 def fit_gbt(t):
     rows = lines(t)
-    reg = GBTRegressor(maxIter=5, maxDepth=3, seed=18).fit(rows)
+    reg = GBTRegressor(maxIter=50, maxDepth=3, seed=18).fit(rows)
     halves = vectors(t, "half")
-    cls = GBTClassifier(maxIter=5, maxDepth=3, seed=18).fit(halves)
+    cls = GBTClassifier(maxIter=50, maxDepth=3, seed=18).fit(halves)
     prices = predicted(reg, rows, c("l_orderkey").alias("id")).withColumn("model", F.lit("regression"))
     return prices.unionByName(predicted(cls, halves, c("vec_id").alias("id")).withColumn("model", F.lit("classes")))
 
@@ -301,7 +300,7 @@ def gbt_by_residuals(t):
 @query()
 def gbt_best_iteration(t):
     rows = lines(t)
-    errors, best, _ = trees.best_iteration(rows.filter("fold > 0"), rows.filter("fold = 0"), "label", 10)
+    errors, best, _ = trees.best_iteration(rows.filter("fold > 0"), rows.filter("fold = 0"), "label", 50)
     out = [(i + 1, float(e), i + 1 == best) for i, e in enumerate(errors)]
     return t.spark.createDataFrame(out, "trees int, error double, best boolean")
 
@@ -309,7 +308,7 @@ def gbt_best_iteration(t):
 @query()
 def fit_adaboost(t):
     rows = vectors(t, "half")
-    return predicted(trees.BoostedTrees(rounds=5).fit(rows), rows, "vec_id")
+    return predicted(trees.BoostedTrees(rounds=10).fit(rows), rows, "vec_id")
 
 
 @query()
@@ -393,6 +392,10 @@ def stack_models(t):
 
 # networks
 
+#: Steps with momentum on standardised inputs; tests hold the accuracy against the larger class.
+NETWORK = {"steps": 100, "rate": 0.8, "momentum": 0.9, "scale": 0.125, "standardise": True}
+
+
 def _points(t):
     return t.embeddings.select("vec_id", F.transform("embedding", lambda v: v.cast("double")).alias("x"),
                                (c("label") < 5).cast("int").alias("label"))
@@ -401,7 +404,7 @@ def _points(t):
 @query()
 def fit_mlp(t):
     rows = _points(t)
-    nets, _ = net.train_networks(rows, "x", "label", [4], steps=20)
+    nets, _ = net.train_networks(rows, "x", "label", [6], **NETWORK)
     p = net.probability(nets[0], "x")
     return rows.select("vec_id", "label", p.alias("probability")).withColumn("prediction", (c("probability") > 0.5).cast("int"))
 
@@ -409,8 +412,8 @@ def fit_mlp(t):
 @query()
 def sweep_hidden_size(t):
     rows = _points(t)
-    sizes = [1, 2, 3, 4, 5, 20, 50]
-    nets, costs = net.train_networks(rows, "x", "label", sizes, steps=15)
+    sizes = [1, 2, 4, 8, 16, 32]
+    nets, costs = net.train_networks(rows, "x", "label", sizes, **NETWORK)
     judged = rows.select("label", *[net.probability(w, "x").alias(f"h{h}") for w, h in zip(nets, sizes)])
     hits = judged.agg(*[F.avg(((c(f"h{h}") > 0.5).cast("int") == c("label")).cast("double")).alias(f"h{h}") for h in sizes])
     return hits.unpivot([], [f"h{h}" for h in sizes], "hidden", "accuracy")
@@ -490,7 +493,7 @@ def grid_search_many(t):
 
 @query()
 def random_search(t):
-    model = LogisticRegression(maxIter=10)
+    model = LogisticRegression(maxIter=200)
     table, _ = tune.random_search(
         vectors(t, "half"), model,
         tune.combinations_of({model.regParam: np.logspace(-4, 0, 5).tolist(), model.elasticNetParam: [0.0, 0.5]}),

@@ -76,10 +76,11 @@ def reindex_keys(t):
 
 # ordered operations
 
-@query("""SELECT event_id, user_id, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 2) AS running,
-round(sum(value) OVER (ORDER BY ts, event_id), 2) AS running_all FROM events""")
+@query("""WITH e AS (SELECT event_id, user_id, ts, CASE WHEN event_id % 7 <> 0 THEN value END AS value FROM events)
+SELECT event_id, user_id, CASE WHEN value IS NOT NULL THEN round(sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), 2) END AS running,
+CASE WHEN value IS NOT NULL THEN round(sum(value) OVER (ORDER BY ts, event_id), 2) END AS running_all FROM e""")
 def cumulative_sum(t):
-    events = t.events.select("event_id", "user_id", "ts", "value")
+    events = t.events.select("event_id", "user_id", "ts", F.when(c("event_id") % 7 != 0, c("value")).alias("value"))
     by_user = running(events, ["user_id"], ["ts", "event_id"], {"running": ("sum", "value")})
     both = running(by_user, [], ["ts", "event_id"], {"running_all": ("sum", "value")})
     return both.select("event_id", "user_id", F.round("running", 2).alias("running"),
@@ -116,9 +117,11 @@ def top_k_per_group(t):
                                    [F.desc("o_totalprice"), "o_orderkey"], 3, "place")
 
 
-@query("""SELECT p_brand, mean, rank() OVER (ORDER BY mean DESC) AS place FROM (SELECT p_brand, round(avg(p_retailprice), 1) AS mean FROM part GROUP BY 1)""")
+@query("""SELECT p_brand, mean, rank() OVER (ORDER BY mean DESC NULLS LAST) AS place FROM (
+SELECT p_brand, round(avg(CASE WHEN p_brand NOT LIKE '%3' THEN p_retailprice END), 1) AS mean FROM part GROUP BY 1)""")
 def rank_results(t):
-    scores = t.part.groupBy("p_brand").agg(F.round(F.avg("p_retailprice"), 1).alias("mean"))
+    price = F.when(~c("p_brand").endswith("3"), c("p_retailprice"))
+    scores = t.part.groupBy("p_brand").agg(F.round(F.avg(price), 1).alias("mean"))
     return ordered.rank_results(scores, "mean", "place")
 
 

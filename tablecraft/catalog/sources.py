@@ -63,9 +63,17 @@ def number_sequence(t):
             .join(spaced.withColumn("at", F.expr("cast(x / 2 as bigint)")), "at").select("n", "x"))
 
 
-@query()
+def _draws(seed):
+    return f"""SELECT o_orderkey, (third * third + second) % 2147483647 AS draw FROM (SELECT *, (second * 48271 + first) % 2147483647 AS third FROM (
+SELECT *, (first * first + {seed}) % 2147483647 AS second FROM (SELECT o_orderkey, (o_orderkey % 2147483647 * 48271 + {seed}) % 2147483647 AS first FROM orders)))"""
+
+
+@query("SELECT o_orderkey, round(a.draw / 2147483647.0::DOUBLE, 9) AS uniform, round(sqrt(-2 * ln(1 - b.draw / 2147483647.0::DOUBLE)) "
+       "* cos(2 * pi() * (d.draw / 2147483647.0::DOUBLE)), 6) AS normal, floor(e.draw / 2147483647.0::DOUBLE * 10)::BIGINT AS integer FROM "
+       + " JOIN ".join(f"({_draws(42 + i)}) {name}" + (" USING (o_orderkey)" if i else "") for i, name in enumerate("abde")))
 def random_columns(t):
-    return src.random_columns(t.orders.select("o_orderkey"), seed=42)
+    out = src.random_columns(t.orders.select("o_orderkey"), "o_orderkey", seed=42)
+    return out.withColumns({"uniform": F.round("uniform", 9), "normal": F.round("normal", 6)})
 
 
 @query("SELECT c_custkey, 5 AS five, 3.14 :: DOUBLE AS pi, 'none' AS tag FROM customer")

@@ -54,15 +54,23 @@ class Weights:
 
 
 def train_networks(df: DataFrame, features: str, label: str, sizes: list[int], steps: int, rate: float = 1.2,
-                   seed: int = 2) -> tuple[list[Weights], list[list[float]]]:
+                   seed: int = 2, momentum: float = 0.0, scale: float = START_SCALE,
+                   standardise: bool = False) -> tuple[list[Weights], list[list[float]]]:
     """Networks of the given hidden sizes and their cost before each step.
 
-    ``features`` is an array column. Only weight-sized sums reach the driver.
+    ``features`` is an array column. Only weight-sized sums reach the driver. With ``standardise`` the
+    steps are taken on inputs of mean 0 and deviation 1, and the weights returned apply to the inputs as they are.
     """
     rows = materialize(df.select(F.col(features).alias("x"), F.col(label).cast("double").alias("y")))
     count = rows.count()
     width = len(rows.first().x)
-    nets = [Weights.random(width, h, seed) for h in sizes]
+    mean, deviation = np.zeros(width), np.ones(width)
+    if standardise:
+        moments = rows.select(F.posexplode("x").alias("at", "v")).groupBy("at").agg(F.avg("v"), F.stddev_pop("v")).collect()
+        for at, m, d in moments:
+            mean[at], deviation[at] = m, d or 1.0
+    nets = [Weights.random(width, h, seed, scale) for h in sizes]
+    speed = [np.zeros(net.w1.size + 2 * len(net.b1) + 1) for net in nets]
     costs: list[list[float]] = [[] for _ in sizes]
     for _ in range(steps):
         now = list(nets)
@@ -71,7 +79,7 @@ def train_networks(df: DataFrame, features: str, label: str, sizes: list[int], s
             total = None
             for batch in batches:
                 if len(batch):
-                    x, y = np.stack(batch["x"].to_numpy()), batch["y"].to_numpy()
+                    x, y = (np.stack(batch["x"].to_numpy()) - mean) / deviation, batch["y"].to_numpy()
                     part = np.concatenate([net.gradient(x, y) for net in now])
                     total = part if total is None else total + part
             if total is not None:
@@ -85,8 +93,10 @@ def train_networks(df: DataFrame, features: str, label: str, sizes: list[int], s
             part = flat[start:start + size]
             start += size
             costs[i].append(float(part[-1]))
-            nets[i] = net.moved(part, rate)
-    return nets, costs
+            speed[i] = momentum * speed[i] + part[:-1]
+            nets[i] = net.moved(speed[i], rate)
+    plain = [Weights(n.w1 / deviation, n.b1 - n.w1 @ (mean / deviation), n.w2, n.b2) for n in nets]
+    return plain, costs
 
 
 def probability(net: Weights, features: str):

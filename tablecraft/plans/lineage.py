@@ -25,13 +25,3 @@ def materialize(df: DataFrame) -> DataFrame:
     checkpoint_home(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Before a CPU-heavy step in local mode: share out a table kept in fewer files than cores.
-
-    On a cluster large tables come in many files, and listing them would cost more.
-    """
-    context = df.sparkSession.sparkContext
-    if not context.master.startswith("local"):
-        return df
-    return df.repartition(context.defaultParallelism) if 0 < len(df.inputFiles()) < context.defaultParallelism else df

@@ -52,7 +52,7 @@ def _local(kind: str, value: Column, window) -> Column:
         return F.row_number().over(window).cast("long")
     if kind == "last":
         return F.last(value, ignorenulls=True).over(window)
-    return {"sum": F.sum, "product": F.product}[kind](value).over(window)
+    return F.when(value.isNotNull(), {"sum": F.sum, "product": F.product}[kind](value).over(window))
 
 
 def _total(kind: str, value: Column) -> Column:
@@ -67,14 +67,15 @@ def _combine(kind: str, carry: Column, local: Column) -> Column:
     if kind == "last":
         return F.coalesce(local, carry)
     if kind == "product":
-        return F.coalesce(carry * local, local, carry)
-    return F.coalesce(carry + local, local, carry)
+        return F.coalesce(carry * local, local)
+    return F.coalesce(carry + local, local)
 
 
 def running(df: DataFrame, keys: list[str], order: list[Column | str],
             outputs: dict[str, tuple[str, str | None]], limit: int = GROUP_LIMIT) -> DataFrame:
     """Running values per group. ``outputs``: name -> (sum|product|count|last, column).
 
+    A sum or product skips missing values and is missing beside them; the last value is the last known.
     Groups up to ``limit`` rows use an ordinary window. If some group is larger (or
     there is no key), the group is cut at partition borders and the totals carried.
     """

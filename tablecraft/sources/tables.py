@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
@@ -82,8 +83,23 @@ def even_spaced(spark: SparkSession, low: float, high: float, count: int, name:
     return spark.range(count).select((F.lit(low) + F.col("id") * F.lit(width)).alias(name))
 
 
-def random_columns(df: DataFrame, seed: int, below: int = 10) -> DataFrame:
-    """Add seeded uniform, normal and integer columns."""
+PRIME = 2147483647
+
+
+def _draw(key: str, seed: int) -> Column:
+    """A whole number below ``PRIME`` from an integer key: two rounds of squaring, which 64 bits hold exactly."""
+    first = (F.pmod(F.col(key).cast("long"), F.lit(PRIME)) * 48271 + seed) % PRIME
+    second = (first * first + seed) % PRIME
+    third = (second * 48271 + first) % PRIME
+    return (third * third + second) % PRIME
+
+
+def random_columns(df: DataFrame, key: str, seed: int, below: int = 10) -> DataFrame:
+    """Add seeded uniform, normal and integer columns that depend on the row's key alone.
+
+    The same key gives the same values however the rows are partitioned, and when a task runs again.
+    """
+    share = [_draw(key, seed + i) / F.lit(float(PRIME)) for i in range(4)]
     return df.withColumns({
-        "uniform": F.rand(seed), "normal": F.randn(seed + 1),
-        "integer": F.floor(F.rand(seed + 2) * below)})
+        "uniform": share[0], "normal": F.sqrt(-2 * F.log(1 - share[1])) * F.cos(2 * math.pi * share[2]),
+        "integer": F.floor(share[3] * below)})

@@ -6,7 +6,7 @@ import pytest
 
 from tablecraft.operators import graph
 
-EVENTS = [[0, 1, 7], [2, 3, 5], [4, 6], [5, 7]]
+EVENTS = [[3, 0], [8, 3, 6], [1, 9, 4], [2, 9], [6, 5, 7]]
 
 
 def members(spark, events):
@@ -28,11 +28,11 @@ def floyd(events, nodes):
 def test_hops_of_the_toy_lists(spark):
     lists = graph.comembership(members(spark, EVENTS), "person", "event")
     got = {(r.src, r.dst): (r.hops, r.previous) for r in graph.hops(lists).collect()}
-    assert got[0, 2] == (3, 5) and got[0, 0] == (0, None) and got[4, 6] == (1, 4)
+    assert got[0, 5] == (3, 6) and got[0, 0] == (0, None) and got[1, 9] == (1, 1)
     assert (0, 4) not in got
-    far = floyd(EVENTS, 8)
+    far = floyd(EVENTS, 10)
     assert {p: h for p, (h, _) in got.items()} == {
-        (a, b): far[a, b] for a in range(8) for b in range(8) if math.isfinite(far[a, b])}
+        (a, b): far[a, b] for a in range(10) for b in range(10) if math.isfinite(far[a, b])}
 
 
 def test_hops_on_random_lists_from_some_sources(spark):

@@ -169,6 +169,16 @@ def test_network_gradient_and_training(spark):
     assert np.allclose(p, serial.forward(x)[1])
 
 
+def test_network_learns_and_weights_apply_to_plain_inputs(spark):
+    draw = np.random.default_rng(6)
+    x = draw.normal(size=(400, 2)) * [3.0, 0.1] + [5.0, -1.0]
+    y = ((x[:, 0] - 5) * (x[:, 1] + 1) > 0).astype(int)
+    df = spark.createDataFrame([([float(a), float(b)], int(k)) for (a, b), k in zip(x, y)], "x array<double>, y int")
+    nets, costs = net.train_networks(df, "x", "y", [1, 8], steps=80, rate=0.8, momentum=0.9, scale=0.5, standardise=True)
+    hits = [((n.forward(x)[1] > 0.5) == y).mean() for n in nets]
+    assert hits[1] > 0.9 > hits[0] and costs[1][-1] < 0.3 * costs[1][0]
+
+
 def test_folds_and_splits(moons):
     df, _, _ = moons
     dealt = folds.kfold_stratified(df.select("id", "label"), 4, "label", ["id"], "f").groupBy("label", "f").count().collect()

@@ -212,6 +212,8 @@ def test_knn_imputation_against_brute_force(spark):
 def test_rank_and_describe(spark):
     scores = spark.createDataFrame([("a", 3.0), ("b", 5.0), ("c", 5.0), ("d", 1.0)], "m string, s double")
     assert {r.m: r["rank"] for r in ordered.rank_results(scores, "s").collect()} == {"a": 3, "b": 1, "c": 1, "d": 4}
+    gappy = scores.union(spark.createDataFrame([("e", None), ("f", None)], "m string, s double"))
+    assert {r.m: r["rank"] for r in ordered.rank_results(gappy, "s").collect()} == {"a": 3, "b": 1, "c": 1, "d": 4, "e": 5, "f": 5}
     df = spark.createDataFrame([(1, "x"), (1, "x"), (None, "y")], "n int, s string")
     got = {r.column: r for r in profile.describe_table(df).collect()}
     assert (got["n"].missing, got["n"]["mean"], got["n"].duplicates, got["s"].rows) == (1, 1.0, 1, 3)
