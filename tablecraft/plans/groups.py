@@ -1,11 +1,7 @@
 """Group statistics next to rows, safe when one group holds much of the table.
 
 A window over the key would send a whole group to one task. Here the statistics
-are aggregated first (Spark combines on the map side), then joined back:
-
-* few groups (checked by counting): the statistics are broadcast, rows never move;
-* many groups: groups above ``HOT_ROWS`` rows, of which there can be at most
-  ``rows / HOT_ROWS``, are broadcast; the rows of all other groups are shuffled.
+are aggregated first (Spark combines on the map side), then joined back.
 """
 
 from __future__ import annotations
@@ -16,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SMALL_ROWS = 500_000
-HOT_ROWS = 5_000_000
 SIZE = "_group_rows"
 
 
@@ -29,11 +24,6 @@ def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast a side only after counting it; otherwise leave the join to Spark."""
-    return F.broadcast(df) if is_small(df, rows) else df
-
-
 def largest_group(df: DataFrame, keys: list[str]) -> int:
     """Rows in the biggest group (a partial count per key, no row is moved whole)."""
     if not keys:
@@ -41,31 +31,22 @@ def largest_group(df: DataFrame, keys: list[str]) -> int:
     return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
 
 
-def join_back(df: DataFrame, stats: DataFrame, keys: list[str], small_rows: int = SMALL_ROWS,
-              hot_rows: int = HOT_ROWS, how: str = "left") -> DataFrame:
-    """Put the columns of ``stats`` (one row per key, with ``SIZE``) beside each row."""
-    extra = [c for c in stats.columns if c not in keys and c != SIZE]
-
-    def attach(rows: DataFrame, side: DataFrame, hint: bool) -> DataFrame:
-        names = {k: f"_key_{k}" for k in keys}
-        side = side.select(*[F.col(k).alias(names[k]) for k in keys], *extra)
-        match = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(side[names[k]]) for k in keys])
-        return rows.join(F.broadcast(side) if hint else side, match, how).select(*rows.columns, *extra)
+def join_back(df: DataFrame, stats: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Put the columns of ``stats`` (one row per key, ``SIZE`` left out) beside each row.
 
-    if is_small(stats, small_rows):
-        return attach(df, stats, True)
-    hot = stats.filter(F.col(SIZE) > hot_rows)
-    if hot.limit(1).count() == 0:
-        return attach(df, stats, False)
-    hot_names = F.broadcast(hot.select(*keys))
-    in_hot = same_keys(df, hot_names, keys)
-    return attach(df.join(hot_names, in_hot, "left_semi"), hot, True).unionByName(
-        attach(df.join(hot_names, in_hot, "left_anti"), stats.filter(F.col(SIZE) <= hot_rows), False))
+    One join on null-safe keys: adaptive execution broadcasts the statistics if their bytes allow it, and
+    else splits the partitions that a large group makes large.
+    """
+    extra = [c for c in stats.columns if c not in keys and c != SIZE]
+    names = {k: f"_key_{k}" for k in keys}
+    side = stats.select(*[F.col(k).alias(names[k]) for k in keys], *extra)
+    match = reduce(lambda a, b: a & b, [df[k].eqNullSafe(side[names[k]]) for k in keys])
+    return df.join(side, match, how).select(*df.columns, *extra)
 
 
-def with_group_stats(df: DataFrame, keys: list[str], aggregates: list[Column], **sizes) -> DataFrame:
+def with_group_stats(df: DataFrame, keys: list[str], aggregates: list[Column]) -> DataFrame:
     """Aggregate per group and put the results beside every row of the group."""
     from tablecraft.plans.lineage import materialize
 
     stats = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(SIZE), *aggregates))
-    return join_back(df, stats, keys, **sizes)
+    return join_back(df, stats, keys)

@@ -12,12 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablecraft.plans.groups import largest_group
 from tablecraft.plans.lineage import materialize
 
 PART, POS = "_part", "_row_in_part"
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
-GROUP_LIMIT = 5_000_000
 
 
 def ranged(df: DataFrame, order: list[Column | str]) -> DataFrame:
@@ -72,20 +70,13 @@ def _combine(kind: str, carry: Column, local: Column) -> Column:
 
 
 def running(df: DataFrame, keys: list[str], order: list[Column | str],
-            outputs: dict[str, tuple[str, str | None]], limit: int = GROUP_LIMIT) -> DataFrame:
+            outputs: dict[str, tuple[str, str | None]]) -> DataFrame:
     """Running values per group. ``outputs``: name -> (sum|product|count|last, column).
 
     A sum or product skips missing values and is missing beside them; the last value is the last known.
-    Groups up to ``limit`` rows use an ordinary window. If some group is larger (or
-    there is no key), the group is cut at partition borders and the totals carried.
+    Every group is cut at partition borders and the totals are carried over them, so its size does not matter.
     """
     values = {n: (k, F.col(c) if c else F.lit(1)) for n, (k, c) in outputs.items()}
-    if keys and largest_group(df, keys) <= limit:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        frame = window.rowsBetween(Window.unboundedPreceding, 0)
-        return df.select("*", *[_local(k, v, window if k == "count" else frame).alias(n)
-                                for n, (k, v) in values.items()])
-
     rows = ranged(df, [*keys, *order])
     window = Window.partitionBy(*keys, PART).orderBy(POS)
     frame = window.rowsBetween(Window.unboundedPreceding, 0)
@@ -112,6 +103,6 @@ def running(df: DataFrame, keys: list[str], order: list[Column | str],
 
 
 def group_position(df: DataFrame, keys: list[str], order: list[Column | str],
-                   name: str = "position", limit: int = GROUP_LIMIT) -> DataFrame:
+                   name: str = "position") -> DataFrame:
     """Add the 1-based position of each row inside its group."""
-    return running(df, keys, order, {name: ("count", None)}, limit)
+    return running(df, keys, order, {name: ("count", None)})

@@ -5,31 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.plans.groups import SIZE, join_back, largest_group
+from tablecraft.plans.groups import SIZE, join_back
 from tablecraft.plans.lineage import materialize
 from tablecraft.plans.ordering import running
 
-BUFFER_ROWS = 1_000_000
 
-
-def percentiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float],
-                limit: int = BUFFER_ROWS) -> DataFrame:
+def percentiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
     """One row per group with the named percentiles (0..1) of ``value``.
 
-    Groups up to ``limit`` rows use the built-in aggregate, whose buffer keeps every
-    distinct value. Larger ones are ranked: equal values are counted first, the
-    counts are summed in value order across partitions, and the values at the wanted
-    positions are picked by an aggregate.
+    Equal values are counted first, the counts are summed in value order across
+    partitions, and the values at the wanted positions are picked by an aggregate.
     """
     rows = df.filter(F.col(value).isNotNull())
-    if largest_group(rows, keys) <= limit:
-        return rows.groupBy(*keys).agg(
-            *[F.percentile(value, q).alias(n) for n, q in shares.items()])
     counts = materialize(rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
     order_keys = keys or ["_all"]
     if not keys:
         counts = counts.withColumn("_all", F.lit(0))
-    seen = running(counts, order_keys, [value], {"_seen": ("sum", "_n")}, limit=0)
+    seen = running(counts, order_keys, [value], {"_seen": ("sum", "_n")})
     sizes = counts.groupBy(*order_keys).agg(F.count(F.lit(1)).alias(SIZE), F.sum("_n").alias("_total"))
     seen = join_back(seen, materialize(sizes), order_keys)
     picks = []

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
-from tablecraft.plans.groups import SMALL_ROWS
 from tablecraft.plans.lineage import materialize
 from tablecraft.plans.ordering import row_index
 
@@ -68,7 +67,7 @@ def from_product(levels: list[DataFrame]) -> DataFrame:
         step = step // size if size else 0
         rows = rows.withColumn(f"_at{n}", F.expr(f"(id div {step}L) % {size}L") if step else F.lit(0))
     for n, (values, size) in enumerate(zip(indexed, sizes)):
-        rows = rows.join(F.broadcast(values) if size <= SMALL_ROWS else values, f"_at{n}")
+        rows = rows.join(values, f"_at{n}")
     return rows.select(*[level.columns[0] for level in levels])
 
 
