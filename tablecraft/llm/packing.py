@@ -17,8 +17,10 @@ from tablecraft.plans.lineage import materialize
 
 #: Token that ends every document.
 END = 0
-#: Distinct chunks of text whose tokens a task remembers.
-REMEMBERED = 300_000
+#: Distinct runs of characters whose tokens a task remembers.
+REMEMBERED = 500_000
+#: Fixed value: marks behind a word that are cut off; none begins a contraction or a special token.
+MARKS = b".,;:!?)#$%&*"
 #: Documents whose tokens a task holds at a time.
 DOCS_AT_ONCE = 256
 #: A best-fit run takes two to this power of items at most in the first round, and half as many on average later.
@@ -31,7 +33,9 @@ class ChunkTokenizer:
     """Tokens of whole texts, worked out once for each run of characters between ASCII blanks.
 
     The tokenizer drops white space and never joins characters across it, so a text's tokens are
-    those of its runs in order. Words recur; a bounded memory of runs saves encoding them again.
+    those of its runs in order. It also cuts letters from marks, so a run of letters with marks behind it is
+    one word and one run of marks; plain lower-case words then go to its merge model directly, and
+    all else through the whole tokenizer. Words recur; a bounded memory saves encoding them again.
     """
 
     def __init__(self, path: str):
@@ -39,20 +43,41 @@ class ChunkTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.runs: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
 
     def encode(self, text: bytes) -> bytes:
         """The tokens as little-endian unsigned 32-bit numbers."""
         runs = text.split()
-        new = list({r for r in runs if r not in self.known})
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = list(set(runs))
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            encoded = self.tokenizer.encode_batch_fast([r.decode("utf-8", "replace") for r in part], add_special_tokens=False)
-            self.known.update(zip(part, (np.array(e.ids, dtype="<u4").tobytes() for e in encoded)))
-        return b"".join(map(self.known.__getitem__, runs))
+        new = {r for r in runs if r not in self.runs}
+        if len(self.runs) + len(new) > REMEMBERED:
+            self.runs, self.parts, new = {}, {}, set(runs)
+        if new:
+            self._learn(new)
+        return b"".join(map(self.runs.__getitem__, runs))
+
+    def _learn(self, runs: set[bytes]) -> None:
+        cut = {r: _word_and_marks(r) for r in runs}
+        missing = {p for pair in cut.values() for p in pair if p not in self.parts}
+        plain = {p for p in missing if p.isascii() and p.isalpha() and p.islower()}
+        model, rest = self.tokenizer.model, list(missing - plain)
+        for p in plain:
+            self.parts[p] = np.array([t.id for t in model.tokenize(p.decode())], dtype="<u4").tobytes()
+        for at in range(0, len(rest), 4096):
+            some = rest[at:at + 4096]
+            encoded = self.tokenizer.encode_batch_fast([p.decode("utf-8", "replace") for p in some], add_special_tokens=False)
+            self.parts.update(zip(some, (np.array(e.ids, dtype="<u4").tobytes() for e in encoded)))
+        for r, pair in cut.items():
+            self.runs[r] = b"".join(self.parts[p] for p in pair)
+
+
+def _word_and_marks(run: bytes) -> tuple[bytes, ...]:
+    """A run of letters with ASCII marks behind it as two parts, plain letters in lower case; any other run whole."""
+    word = run.rstrip(MARKS)
+    if not word.decode("utf-8", "replace").isalpha():
+        return (run,)
+    word, marks = word.lower() if word.isascii() else word, run[len(word):]
+    return (word, marks) if marks else (word,)
 
 
 def pieces(docs: DataFrame, tokenizer: str, size: int, key: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
