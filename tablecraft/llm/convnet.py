@@ -136,12 +136,14 @@ class Scorer:
         ids, starts = _lined_up(texts, self.buckets)
         n = len(ids) - max(WIDTHS)
         total = np.full(len(texts), self.base)
+        bounds = np.stack([starts, starts + [len(t) + 1 for t in texts]], axis=1).ravel()
         for k, shares in enumerate(self.shares):
             response = shares[0][ids[:n, 0]] + shares[0][ids[:n, 1]]
             for step in range(1, len(shares)):
                 for part in ids[step:n + step].T:
                     response += shares[step][part]
-            total += np.maximum(np.maximum.reduceat(response, starts) + self.bias[k], 0) @ self.out[k].astype(float)
+            top = np.maximum.reduceat(response, bounds)[::2]  # of a text's own windows; the odd ones reach into the next
+            total += np.maximum(top + self.bias[k], 0) @ self.out[k].astype(float)
         return total, np.add.reduceat(self.tongue[ids[:n, 0]], starts)
 
     def calibrate(self, texts: list[np.ndarray], labels: np.ndarray, least: int = 40) -> Scorer:
