@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +19,8 @@ BLANK, OWN_SIGN = "▁", "\udc81"
 ALPHA = 0.5
 #: Words sampled side by side, and distinct words whose lattices a task remembers.
 WORDS, REMEMBERED = 200_000, 150_000
+#: Units that are filtered side by side.
+UNITS = 50_000
 
 
 class PieceTable:
@@ -44,9 +45,37 @@ class PieceTable:
         self.byte_share = len(self.pieces) ** -alpha
         #: Every beginning of a piece: the piece itself if it is one, else nothing.
         self.known = {p[:n]: None for p in self.weights for n in range(1, len(p))} | self.weights
+        self._grow()
         #: Neighbours inside of some piece. Between any others every segmentation has a cut.
         self.pairs = {p[i:i + 2] for p in self.weights for i in range(len(p) - 1)}
 
+    def _grow(self) -> None:
+        """The beginnings as a tree in sorted arrays: a state for each, keyed by the state before and the next character."""
+        state = {"": 0} | {p: i + 1 for i, p in enumerate(self.known)}
+        keys = np.array([state[p[:-1]] << 21 | ord(p[-1]) for p in self.known], dtype=np.int64)
+        order = np.argsort(keys)
+        self.steps, self.next_state = keys[order], np.arange(1, len(keys) + 1)[order]
+        found = [(0, 0.0), *((-1, 0.0) if v is None else v for v in self.known.values())]
+        self.piece_at = np.array([i for i, _ in found], dtype=np.int32)
+        self.piece_at[0] = -1
+        self.weight_at = np.array([w for _, w in found])
+
+    def spans(self, chars: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(start, length, piece, weight) of all pieces in a row of characters; ``left``: characters up to each unit's end."""
+        at, state, out = np.arange(len(chars)), np.zeros(len(chars), dtype=np.int64), []
+        for n in range(self.longest):
+            fits = left[at] > n
+            at, state = at[fits], state[fits]
+            key = state << 21 | chars[at + n]
+            where = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+            hit = self.steps[where] == key
+            at, state = at[hit], self.next_state[where[hit]]
+            if not len(at):
+                break
+            whole = self.piece_at[state] >= 0
+            out.append((at[whole], np.full(int(whole.sum()), n + 1), self.piece_at[state[whole]], self.weight_at[state[whole]]))
+        return tuple(np.concatenate(c) for c in zip(*out)) if out else tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int32, float))
+
     def decode(self, ids) -> str:
         """The text of a segmentation: bytes are joined, blanks restored, and the blank before the text dropped."""
         return b"".join(map(self.octets.__getitem__, ids))[1:].decode("utf-8")
@@ -65,66 +94,79 @@ class Lattices:
         self.table = table
         self.words: dict[str, tuple[int, ...]] = {}
         self.units: dict[str, int] = {}
-        self.rank, self.before, self.piece, self.begins, self.more = array("d"), array("q"), array("i"), bytearray(), {}
+        self.nodes, self.parts, self.more = 0, [], {}
         self.frozen = None
 
-    def ends(self, word: str) -> tuple[int, ...]:
-        """End nodes of a word's units, in order; the word is given without the blank before it."""
-        found = self.words.get(word)
-        if found is None:
-            text, pairs, units, start = BLANK + word, self.table.pairs, [], 0
+    def learn(self, words: list[str]) -> None:
+        """Cut new words, given without the blank before them, into units, and filter the new units."""
+        pairs, cut, new = self.table.pairs, {}, {}
+        for word in words:
+            text, units, start = BLANK + word, [], 0
             for i in range(1, len(text) + 1):
                 if i == len(text) or text[i - 1:i + 1] not in pairs:
                     unit, start = text[start:i], i
                     if unit not in self.units:
-                        self.units[unit] = self._filter(unit)
-                    units.append(self.units[unit])
-            found = self.words[word] = tuple(units)
-        return found
-
-    def _filter(self, text: str) -> int:
-        """Forward filtering: the weight of all segmentations up to each place, and the share of each last piece.
-
-        Weights are kept in proportion only, and raised before they get too small for a float.
+                        new[unit] = None
+                    units.append(unit)
+            cut[word] = units
+        ordered = sorted(new, key=len)
+        for at in range(0, len(ordered), UNITS):
+            self._filter(ordered[at:at + UNITS])
+        for word, units in cut.items():
+            self.words[word] = tuple(self.units[u] for u in units)
+
+    def _filter(self, units: list[str]) -> None:
+        """Forward filtering, all units a place at a time: the weight of all segmentations up to there, and each last piece's share.
+
+        Weights are kept in proportion only: a unit's are divided by their sum as the filter passes, so none gets too small.
         """
-        table, first, size = self.table, len(self.begins), len(text)
-        known, longest = table.known, table.longest
-        incoming: list[list] = [[] for _ in range(size + 1)]
-        total = [0.0] * (size + 1)
-        total[0] = 1.0
-        for i in range(size):
-            if i:
-                here = total[i] = sum(e[0] for e in incoming[i])
-                if here < 1e-150:
-                    for edges in incoming[i:i + longest + 1]:
-                        edges[:] = [(w * 1e150, a, p) for w, a, p in edges]
-                    total[i] = here = here * 1e150
-            else:
-                here = 1.0
-            single = False
-            for j in range(i + 1, min(i + longest, size) + 1):
-                piece = known.get(text[i:j], False)
-                if piece is False:
-                    break
-                if piece:
-                    incoming[j].append((here * piece[1], i, piece[0]))
-                    single = single or j == i + 1
-            if not single:
-                ids = [table.bytes[b] for b in (BLANK if text[i] == OWN_SIGN else text[i]).encode()]
-                incoming[i + 1].append((here * table.byte_share ** len(ids), i, ids[0] if len(ids) == 1 else -self._bytes(tuple(ids))))
-        self.begins.append(1)
-        self.begins.extend(bytes(size))
-        for place in range(1, size + 1):
-            edges, run, base = incoming[place], 0.0, first + place
-            scale = 1 / sum(e[0] for e in edges)
-            for weight, i, piece in edges:
-                run += weight * scale
-                self.rank.append(base + min(run, 1.0))
-                self.before.append(first + i)
-                self.piece.append(piece)
-            self.rank[-1] = base + 1.0
+        table = self.table
+        sizes = np.array([len(u) for u in units])
+        ends = np.cumsum(sizes)
+        chars = np.array([ord(c) for u in units for c in u], dtype=np.int64)
+        left = np.repeat(ends, sizes) - np.arange(len(chars))
+        start, length, piece, weight = table.spans(chars, left)
+        bare = np.ones(len(chars), dtype=bool)
+        bare[start[length == 1]] = False
+        alone = np.flatnonzero(bare)
+        raw = [tuple(table.bytes[b] for b in (BLANK if chars[i] == ord(OWN_SIGN) else chr(chars[i])).encode()) for i in alone]
+        start, length = np.r_[start, alone], np.r_[length, np.ones(len(alone), np.int64)]
+        piece = np.r_[piece, np.array([ids[0] if len(ids) == 1 else -self._bytes(ids) for ids in raw], dtype=np.int32)].astype(np.int32)
+        weight = np.r_[weight, np.array([table.byte_share ** len(ids) for ids in raw])]
+        # a unit of n characters has n + 1 nodes; the node before character i of unit u is i + u
+        unit = np.repeat(np.arange(len(units)), sizes)
+        before = start + unit[start]
+        after = before + length
+        order = np.lexsort((before, after))
+        before, after, piece, weight = before[order], after[order], piece[order], weight[order]
+        place = after - (ends - sizes + np.arange(len(units)))[unit[start[order]]]
+        by_place = np.argsort(place, kind="stable")
+        cuts = np.searchsorted(place[by_place], np.arange(1, int(sizes.max()) + 2))
+        total, share = np.zeros(len(chars) + len(units)), np.empty(len(after))
+        total[ends - sizes + np.arange(len(units))] = 1.0
+        for p in range(len(cuts) - 1):
+            some = by_place[cuts[p]:cuts[p + 1]]
+            flow = total[before[some]] * weight[some]
+            heads = np.flatnonzero(np.r_[True, np.diff(after[some]) != 0])
+            sums = np.add.reduceat(flow, heads)
+            share[some] = flow / np.repeat(sums, np.diff(np.r_[heads, len(some)]))
+            nodes = after[some][heads]
+            total[nodes] = sums
+            small = sums < 1e-100
+            if small.any():  # raise all nodes that later pieces of these units can begin at
+                for k in range(int(min(p + 2, table.longest))):
+                    total[nodes[small] - k] *= 1e100
+        run = np.cumsum(share)
+        last = np.r_[np.diff(after) != 0, True]
+        heads = np.r_[0, np.flatnonzero(last)[:-1] + 1]
+        base = np.repeat(run[heads] - share[heads], np.diff(np.r_[heads, len(after)]))
+        rank = self.nodes + after + np.where(last, 1.0, np.clip(run - base, 0.0, 1.0))
+        begins = np.zeros(len(total), dtype=bool)
+        begins[ends - sizes + np.arange(len(units))] = True
+        self.parts.append((rank, self.nodes + before, piece, begins))
+        self.units.update(zip(units, (self.nodes + ends + np.arange(len(units))).tolist()))
+        self.nodes += len(total)
         self.frozen = None
-        return first + size
 
     def _bytes(self, ids: tuple) -> int:
         return self.more.setdefault(ids, len(self.more) + 1)
@@ -136,7 +178,9 @@ class Lattices:
             table = np.full((len(wide), 4), -1, dtype=np.int32)
             for i, ids in enumerate(wide):
                 table[i, :len(ids)] = ids
-            self.frozen = (np.array(self.rank), np.array(self.before, dtype=np.int64), np.array(self.piece, dtype=np.int32), table, np.array(self.begins, dtype=bool))
+            merged = [np.concatenate(c) for c in zip(*self.parts)]
+            self.parts = [tuple(merged)]
+            self.frozen = (*merged[:3], table, merged[3])
         rank, before, piece, wide, begins = self.frozen
         live, node, steps = np.arange(len(ends)), ends.copy(), []
         count, step = np.zeros(len(ends), dtype=np.int64), 0
@@ -189,11 +233,15 @@ class Sampler:
     def _block(self, block: list[tuple[list[str], int]]) -> Iterator[np.ndarray]:
         if len(self.lattices.words) > REMEMBERED:
             self.lattices = Lattices(self.table)
-        ends, sizes, of = [], [], self.lattices.ends
+        known = self.lattices.words
+        new = dict.fromkeys(w for parts, _ in block for w in parts if w not in known)
+        if new:
+            self.lattices.learn(list(new))
+        ends, sizes = [], []
         for parts, _ in block:
             before = len(ends)
             for word in parts:
-                ends += of(word)
+                ends += known[word]
             sizes.append(len(ends) - before)
         sizes = np.array(sizes)
         place = np.arange(len(ends)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
