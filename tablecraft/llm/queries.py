@@ -92,3 +92,6 @@ def op10_lm(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return sampling.digest(table(spark, folder, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+ORACLE["op3_pii"] = pii.SQL
