@@ -13,15 +13,15 @@ from tablecraft.llm.simhash import whole_cells
 from tablecraft.plans.lineage import materialize
 
 #: Neighbours that a node keeps in the graph, and vectors that a block of the first, rough graph holds.
-DEGREE, BLOCK = 32, 256
+DEGREE, BLOCK = 48, 256
 #: Rough graphs from which the descent starts, and the rounds after which it ends at the latest.
-STARTS, ROUNDS = 4, 6
+STARTS, ROUNDS = 4, 8
 #: The descent ends when a round changes less than this share of the edges.
-SETTLED = 0.05
+SETTLED = 0.02
 #: Reverse neighbours of a node that meet in one local join.
 MEETING = 64
 #: Nodes that a search keeps for a query.
-BEAM = 32
+BEAM = 64
 
 
 def usable(vector: str) -> Column:
@@ -64,9 +64,12 @@ def _unit(codes: pd.Series) -> np.ndarray:
 
 
 def _best(edges: DataFrame, degree: int) -> DataFrame:
-    """The nearest ``degree`` neighbours of each node; ties to the smaller neighbour."""
+    """The nearest ``degree`` neighbours of each node; ties to the smaller neighbour. ``new``: not known before.
+
+    The edges are dealt out by node once, for the repeated ones to be merged and the rest to be ranked.
+    """
     ranked = Window.partitionBy("node").orderBy(F.desc("near"), "other")
-    return (edges.groupBy("node", "other").agg(F.max("near").alias("near"))
+    return (edges.repartition("node").groupBy("node", "other").agg(F.max("near").alias("near"), F.min("new").alias("new"))
             .withColumn("place", F.row_number().over(ranked)).where(F.col("place") <= degree).drop("place"))
 
 
@@ -123,7 +126,7 @@ def _meetings(graph: DataFrame, points: DataFrame) -> DataFrame:
         "host", "guest", F.pmod(F.xxhash64("guest"), "rooms").alias("room"))
     worst = graph.groupBy("node").agg(F.min("near").alias("worst"))
     hosts = own.select("host", F.col("host").alias("guest"), "room").distinct()
-    guests = own.union(back).union(hosts).distinct().select(F.xxhash64("host", "room").alias("cell"), F.col("guest").alias("node"))
+    guests = own.union(back).union(hosts).select(F.xxhash64("host", "room").alias("cell"), F.col("guest").alias("node"))
     cells = guests.join(points.select("node", "code").join(worst, "node"), "node")
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -131,10 +134,12 @@ def _meetings(graph: DataFrame, points: DataFrame) -> DataFrame:
             node, v, worst_near = rows["node"].to_numpy(), _unit(rows["code"]), rows["worst"].to_numpy()
             found = []
             for a, b in _spans(rows["cell"].to_numpy()):
-                near = v[a:b] @ v[a:b].T
+                _, own = np.unique(node[a:b], return_index=True)  # some are neighbours both ways
+                some = a + own
+                near = v[some] @ v[some].T
                 np.fill_diagonal(near, -2)
-                i, j = np.nonzero(near > worst_near[a:b, None] + 1e-6)
-                found.append((node[a + i], node[a + j], near[i, j]))
+                i, j = np.nonzero(near > worst_near[some, None] + 1e-6)
+                found.append((node[some[i]], node[some[j]], near[i, j]))
             yield pd.DataFrame({k: np.concatenate(c) for k, c in zip(("node", "other", "near"), zip(*found))})
 
     return cells.repartition("cell").sortWithinPartitions("cell").mapInPandas(meet, "node long, other long, near float")
@@ -143,14 +148,14 @@ def _meetings(graph: DataFrame, points: DataFrame) -> DataFrame:
 def neighbour_graph(points: DataFrame, degree: int = DEGREE, starts: int = STARTS, rounds: int = ROUNDS) -> DataFrame:
     """(node, other, near): for each point its approximately nearest ``degree`` others."""
     count = points.count()
-    graph = materialize(_best(rough_graph(points, count, degree, starts), degree))
+    rough = rough_graph(points, count, degree, starts)
+    graph = materialize(_best(rough.withColumn("new", F.lit(True)), degree))
     for _ in range(rounds if count > BLOCK else 0):
-        better = materialize(_best(graph.union(_meetings(graph, points)), degree))
-        changed = better.join(graph, ["node", "other"], "left_anti").count()
-        graph = better
-        if changed < SETTLED * degree * count:
+        known, met = graph.withColumn("new", F.lit(False)), _meetings(graph, points).withColumn("new", F.lit(True))
+        graph = materialize(_best(known.unionByName(met), degree))
+        if graph.where("new").count() < SETTLED * degree * count:
             break
-    return graph
+    return graph.drop("new")
 
 
 def greedy_search(graph: DataFrame, points: DataFrame, queries: DataFrame, beam: int = BEAM, most: int = 64) -> DataFrame:
