@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -74,12 +75,20 @@ class ChunkTokenizer:
 def _word_and_marks(run: bytes) -> tuple[bytes, ...]:
     """A run of letters with ASCII marks behind it as two parts, plain letters in lower case; any other run whole."""
     word = run.rstrip(MARKS)
-    if not word.decode("utf-8", "replace").isalpha():
+    if not _only_letters(word.decode("utf-8", "replace")):
         return (run,)
     word, marks = word.lower() if word.isascii() else word, run[len(word):]
     return (word, marks) if marks else (word,)
 
 
+def _only_letters(word: str) -> bool:
+    """True if the word has letters only, also as the tokenizer sees it: composed, then lower-cased letter by letter.
+
+    Both can make a letter end in a combining mark, which the tokenizer joins with the marks behind it.
+    """
+    return word.isalpha() and (word.isascii() or "".join(map(str.lower, unicodedata.normalize("NFC", word))).isalpha())
+
+
 def pieces(docs: DataFrame, tokenizer: str, size: int, key: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
     """(key, piece, start, length, ids_crc32 [, ids]): each document's tokens and its end, cut only beyond ``size``.
 

@@ -34,6 +34,13 @@ def test_chunks_give_the_tokens_of_the_whole_text():
         assert np.frombuffer(chunked.encode((t or "").encode()), "<u4").tolist() + [0] == tokens(t), repr(t)
 
 
+def test_letters_that_end_in_a_mark_once_normalised():
+    """U+0130 in lower case, and U+0958 and U+FB2A composed, end in a combining mark, which joins the marks behind it."""
+    chunked = ChunkTokenizer(PATH)
+    for t in ["BELED\u0130YES\u0130.", "\u0130,", "\u0130", "\u0958.", "x\u0958!?", "\ufb2a.", "\ufb2ax.", "\u00c9COLE.", "\u039f\u03a3.", "stra\u00dfe,"]:
+        assert np.frombuffer(chunked.encode(t.encode()), "<u4").tolist() + [0] == tokens(t), ascii(t)
+
+
 def check(rows, size):
     """Every sequence is full from offset 0 without gaps and within the size."""
     by = {}
