@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,16 +15,23 @@ from tablecraft.plans.lineage import materialize
 
 #: Neighbours that a node keeps in the graph, and vectors that a block of the first, rough graph holds.
 DEGREE, BLOCK = 48, 256
-#: Rough graphs from which the descent starts, and the rounds after which it ends at the latest.
-STARTS, ROUNDS = 4, 8
-#: The descent ends when a round changes less than this share of the edges.
-SETTLED = 0.02
+#: Rough graphs from which the descent starts at least; more by the logarithm of the vectors.
+STARTS = 4
+#: The descent ends when a round changes less than this share of the edges; one that has not settled, or a search
+#: that has not ended, after so many rounds for each doubling of the vectors is an error.
+SETTLED, GUARD = 0.02, 8
 #: Reverse neighbours of a node that meet in one local join.
 MEETING = 64
-#: Nodes that a search keeps for a query.
+#: Nodes that a search keeps for a query at least; more by the logarithm of the vectors.
 BEAM = 64
 
 
+def sizes(count: int) -> tuple[int, int, int]:
+    """Rough graphs, beam and most rounds for so many vectors."""
+    doublings = math.ceil(math.log2(max(count, 2)))
+    return max(STARTS, math.ceil(doublings / 3)), max(BEAM, 6 * doublings), GUARD * doublings
+
+
 def usable(vector: str) -> Column:
     """True for a vector with finite components only, not all of them zero."""
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -113,17 +121,18 @@ def _spans(keys: np.ndarray) -> Iterator[tuple[int, int]]:
     return zip(cuts[:-1].tolist(), cuts[1:].tolist())
 
 
-def _meetings(graph: DataFrame, points: DataFrame) -> DataFrame:
+def _meetings(graph: DataFrame, points: DataFrame, turn: int = 0) -> DataFrame:
     """(node, other, near): pairs of neighbours of a common node that are nearer than what either has.
 
     Every node's neighbours, and the nodes that have it as theirs, meet around it. A node that very
-    many others have as a neighbour holds several meetings; its own neighbours attend all of them.
+    many others have as a neighbour holds several meetings; its own neighbours attend all of them. The others are
+    dealt to them anew in each turn, so that two who missed each other meet in a later one.
     """
     asked = graph.groupBy(F.col("other").alias("host")).agg(F.ceil(F.count("*") / MEETING).alias("rooms"))
     own = graph.select(F.col("node").alias("host"), F.col("other").alias("guest")).join(asked, "host", "left").select(
         "host", "guest", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("rooms", F.lit(1)) - 1)).alias("room"))
     back = graph.select(F.col("other").alias("host"), F.col("node").alias("guest")).join(asked, "host").select(
-        "host", "guest", F.pmod(F.xxhash64("guest"), "rooms").alias("room"))
+        "host", "guest", F.pmod(F.xxhash64("guest", F.lit(turn)), "rooms").alias("room"))
     worst = graph.groupBy("node").agg(F.min("near").alias("worst"))
     hosts = own.select("host", F.col("host").alias("guest"), "room").distinct()
     guests = own.union(back).union(hosts).select(F.xxhash64("host", "room").alias("cell"), F.col("guest").alias("node"))
@@ -145,16 +154,21 @@ def _meetings(graph: DataFrame, points: DataFrame) -> DataFrame:
     return cells.repartition("cell").sortWithinPartitions("cell").mapInPandas(meet, "node long, other long, near float")
 
 
-def neighbour_graph(points: DataFrame, degree: int = DEGREE, starts: int = STARTS, rounds: int = ROUNDS) -> DataFrame:
-    """(node, other, near): for each point its approximately nearest ``degree`` others."""
+def neighbour_graph(points: DataFrame, degree: int = DEGREE, starts: int | None = None, most: int | None = None) -> DataFrame:
+    """(node, other, near): for each point its approximately nearest ``degree`` others.
+
+    Rounds follow each other until one settles. More than ``most`` of them are an error, never a graph that is cut short.
+    """
     count = points.count()
-    rough = rough_graph(points, count, degree, starts)
-    graph = materialize(_best(rough.withColumn("new", F.lit(True)), degree))
-    for _ in range(rounds if count > BLOCK else 0):
-        known, met = graph.withColumn("new", F.lit(False)), _meetings(graph, points).withColumn("new", F.lit(True))
-        graph = materialize(_best(known.unionByName(met), degree))
-        if graph.where("new").count() < SETTLED * degree * count:
-            break
+    grown, _, guard = sizes(count)
+    graph = materialize(_best(rough_graph(points, count, degree, starts or grown).withColumn("new", F.lit(True)), degree))
+    changed, turn, most = count > BLOCK, 0, guard if most is None else most
+    while changed:
+        if turn >= most:
+            raise RuntimeError(f"the neighbour graph of {count} vectors has not settled after {turn} rounds")
+        known, met = graph.withColumn("new", F.lit(False)), _meetings(graph, points, turn).withColumn("new", F.lit(True))
+        graph, turn = materialize(_best(known.unionByName(met), degree)), turn + 1
+        changed = graph.where("new").count() >= SETTLED * degree * count
     return graph.drop("new")
 
 
@@ -162,7 +176,7 @@ def greedy_search(graph: DataFrame, points: DataFrame, queries: DataFrame, beam:
     """(query, node, near) from (query, vector, length, node): the nearest found, at most ``beam`` for each query.
 
     A search starts at the given nodes. In each step it looks at the neighbours, both ways, of all nodes
-    that it keeps and has not left yet, and keeps the nearest. It ends when none of them is new.
+    that it keeps and has not left yet, and keeps the nearest. It ends when none of them is new; more steps than ``most`` are an error.
     """
     ways = materialize(graph.select("node", "other").union(graph.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct())
     asked = queries.select("query", F.col("vector").alias("q_vector"), F.col("length").alias("q_length")).dropDuplicates(["query"])
@@ -180,17 +194,17 @@ def greedy_search(graph: DataFrame, points: DataFrame, queries: DataFrame, beam:
         both = state.withColumn("new", F.lit(False)).union(scored(fresh))
         state = materialize(both.withColumn("place", F.row_number().over(kept)).where(F.col("place") <= beam).drop("place"))
         if state.where("new").isEmpty():
-            break
-    return state.drop("new")
+            return state.drop("new")
+    raise RuntimeError(f"a search has not ended after {most} steps")
 
 
-def nearest(rows: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", beam: int = BEAM) -> DataFrame:
+def nearest(rows: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vector: str = "embedding", beam: int | None = None) -> DataFrame:
     """(query_id, rank, key, score): for each row that ``queries`` picks, the k nearest other rows that were found.
 
     Every row is in the graph. Scores are cosines of the original vectors in double precision, highest first, ties to
     the smaller key. A query's own key is no candidate, copies of its vector under other keys are. Rows without
     key, and vectors that are missing, zero, not finite or of another dimension, take no part; repeated rows
-    count once; with fewer than k candidates all are given.
+    count once; with fewer than k candidates all are given. The beam grows with the vectors unless it is given.
     """
     points = distinct_vectors(rows, key, vector, k + 1)
     graph = neighbour_graph(points)
@@ -198,7 +212,8 @@ def nearest(rows: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", v
         F.col(key).alias("query_id"), F.transform(vector, lambda x: x.cast("double")).alias("vector")).distinct()
     asked = materialize(wanted.join(points.select("vector", "length", "node"), "vector"))
     starts = asked.select(F.col("node").alias("query"), "vector", "length", "node").dropDuplicates(["query"])
-    found = greedy_search(graph, points, starts, beam)
+    _, grown, most = sizes(points.count())
+    found = greedy_search(graph, points, starts, beam or grown, max(most, 64))
     members = found.join(points.select("node", F.explode("ids").alias("id")), "node")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     best = (asked.select("query_id", F.col("node").alias("query")).join(members, "query").where("id <> query_id")

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablecraft.llm.neighbours import nearest
+from tablecraft.llm.neighbours import _meetings, distinct_vectors, nearest, neighbour_graph, sizes
 
 SCHEMA = "vec_id long, embedding array<float>, node string, score double"
 
@@ -73,3 +73,29 @@ def test_few_or_no_rows(spark):
     assert {q: [i for _, i, _ in h] for q, h in got.items()} == {0: [50, 1], 50: [0, 1]}
     alone = spark.createDataFrame(few[:1], SCHEMA)
     assert nearest(alone, F.col("vec_id") % 50 == 0).count() == 0
+
+
+def points_of(spark, count, size):
+    v = np.random.default_rng(6).normal(size=(count, size)).astype(np.float32)
+    return distinct_vectors(spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>"), "vec_id", "embedding", 1)
+
+
+def test_guests_of_a_crowded_node_meet_others_in_later_rounds(spark):
+    points = points_of(spark, 400, 4)
+    nodes = [r.node for r in points.select("node").collect()]
+    star = spark.createDataFrame([(n, nodes[0], -1.0) for n in nodes[1:]] + [(nodes[0], nodes[1], -1.0)], "node long, other long, near float")
+    first, second = ({(r.node, r.other) for r in _meetings(star, points, turn).collect()} for turn in (0, 1))
+    assert len(second - first) > len(first) / 2
+
+
+def test_descent_ends_settled_or_not_at_all(spark):
+    points = points_of(spark, 1500, 24)
+    with pytest.raises(RuntimeError, match="settled"):
+        neighbour_graph(points, most=1)
+    assert neighbour_graph(points).groupBy("node").count().where("count < 48").isEmpty()
+
+
+def test_sizes_grow_with_the_vectors():
+    assert sizes(2_000)[:2] == (4, 66)
+    small, large = sizes(50_000), sizes(3_000_000)
+    assert all(a < b for a, b in zip(small, large))
