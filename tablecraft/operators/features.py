@@ -18,7 +18,7 @@ from tablecraft.plans.ordering import row_index
 from tablecraft.plans.quantiles import percentiles
 
 MAX_FEATURES = 5_000
-LAMBDA_RANGE, LAMBDA_STEPS, LAMBDA_ROUNDS = (-2.0, 2.0), 21, 4
+LAMBDA_RANGE, LAMBDA_STEPS, LAMBDA_ROUNDS, LAMBDA_FINEST = (-2.0, 2.0), 21, 4, 0.00021
 
 
 # categories
@@ -117,31 +117,42 @@ def boxcox(x: Column, power: float) -> Column:
 
 
 def boxcox_fit(df: DataFrame, columns: list[str], shift: float = 1.0) -> dict[str, float]:
-    """Power with the highest likelihood for each positive column ``x + shift``.
+    """Power with the highest likelihood for each positive column ``x + shift``; 1 for a constant one.
 
-    The likelihood of a whole grid of powers comes from one aggregate; the grid is
-    then narrowed around the best one. Only these sums reach the driver.
+    The likelihood of a whole grid of powers comes from one aggregate. The grid is widened until the best power is
+    inside it, and then narrowed around it. Only these sums reach the driver. Values are taken
+    relative to their geometric mean, which leaves the best power as it is and keeps large powers finite.
     """
-    spans = {c: LAMBDA_RANGE for c in columns}
-    best: dict[str, float] = {}
-    for _ in range(LAMBDA_ROUNDS):
+    logs = {c: F.log(F.col(c).cast("double") + shift) for c in columns}
+    first = df.agg(*[f(logs[c]).alias(f"{k}{n}") for n, c in enumerate(columns) for k, f in (("m", F.avg), ("a", F.min), ("b", F.max))]).first()
+    best: dict[str, float] = dict.fromkeys(columns, 1.0)
+    spans = {c: LAMBDA_RANGE for n, c in enumerate(columns) if first[f"a{n}"] != first[f"b{n}"]}
+    rounds = dict.fromkeys(spans, 0)
+    while spans:
         grids = {c: [a + (b - a) * i / (LAMBDA_STEPS - 1) for i in range(LAMBDA_STEPS)] for c, (a, b) in spans.items()}
         aggs = []
         for n, c in enumerate(columns):
-            x = F.col(c).cast("double") + shift
-            aggs += [F.count(c).alias(f"n{n}"), F.sum(F.log(x)).alias(f"s{n}")]
-            for i, power in enumerate(grids[c]):
-                y = F.log(x) if abs(power) < 1e-12 else (F.pow(x, F.lit(power)) - 1) / F.lit(power)
+            x = logs[c] - F.lit(first[f"m{n}"])
+            for i, power in enumerate(grids.get(c, ())):
+                y = x if abs(power) < 1e-12 else F.expm1(x * F.lit(power)) / F.lit(power)
                 aggs.append(F.var_pop(y).alias(f"v{n}_{i}"))
         sums = df.agg(*aggs).first()
         for n, c in enumerate(columns):
-            def likelihood(i: int, n=n, c=c) -> float:
+            if c not in spans:
+                continue
+
+            def likelihood(i: int, n=n) -> float:
                 spread = sums[f"v{n}_{i}"]
-                return -math.inf if not spread else (grids[c][i] - 1) * sums[f"s{n}"] - sums[f"n{n}"] / 2 * math.log(spread)
+                return -math.log(spread) if spread and math.isfinite(spread) else -math.inf
             top = max(range(LAMBDA_STEPS), key=likelihood)
-            best[c] = grids[c][top]
-            step = grids[c][1] - grids[c][0]
+            best[c], (a, b) = grids[c][top], spans[c]
+            if not rounds[c] and top in (0, LAMBDA_STEPS - 1):
+                spans[c] = (best[c] - (b - a), best[c] + (b - a))
+                continue
+            step, rounds[c] = grids[c][1] - grids[c][0], rounds[c] + 1
             spans[c] = (best[c] - step, best[c] + step)
+            if rounds[c] >= LAMBDA_ROUNDS and step <= LAMBDA_FINEST * max(1.0, abs(best[c])):
+                del spans[c]
     return best
 
 

@@ -262,6 +262,13 @@ def test_boxcox_fit_finds_the_power(spark):
     assert features.boxcox_fit(df, ["x"], shift=0.0)["x"] == pytest.approx(0.5, abs=0.15)
 
 
+def test_boxcox_fit_finds_powers_beyond_the_first_grid(spark):
+    draw = np.random.default_rng(0).normal(5, 0.5, 4000)
+    df = spark.createDataFrame([(float(x ** 0.125), float(x ** -0.2), 3.0) for x in draw], "x double, y double, z double")
+    found = features.boxcox_fit(df, ["x", "y", "z"], shift=0.0)
+    assert found["x"] == pytest.approx(8, abs=2) and found["y"] == pytest.approx(-5, abs=1.5) and found["z"] == 1.0
+
+
 def test_pca_first_axis_follows_the_spread(spark):
     draw = np.random.default_rng(1).normal(size=300)
     df = spark.createDataFrame([(i, float(a), float(2 * a + 0.01 * np.sin(i))) for i, a in enumerate(draw)], "i int, a double, b double")
