@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablecraft.llm import lm, neighbours, packing, pii, quality, sampling, toxicity, urlfilter, warc
+from tablecraft.llm import infill, lm, merkle, neighbours, packing, pii, quality, sampling, toxicity, urlfilter, warc
 from tablecraft.llm.resources import tokenizer_file
 from tablecraft.llm.simhash import near_copies
 from tablecraft.plans.lineage import checkpoint_home
@@ -95,3 +95,19 @@ def op7_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op3_pii"] = pii.SQL
+
+
+@query
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.audit(table(spark, folder, "documents"))
+
+
+ORACLE["op11_merkle"] = merkle.SQL
+
+
+@query
+def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
+    return infill.digest(table(spark, folder, "documents"))
+
+
+ORACLE["op12_infill"] = infill.SQL
