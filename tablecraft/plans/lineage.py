@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,3 +26,14 @@ def materialize(df: DataFrame) -> DataFrame:
     checkpoint_home(df.sparkSession)
     return df.checkpoint(eager=True)
 
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder, for a table that is written and read again."""
+    return f"{checkpoint_home(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder once nothing reads it any more, on whichever file system it lies."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
