@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tablecraft.llm import infill, lm, merkle, neighbours, packing, pii, quality, sampling, toxicity, urlfilter, warc
+from tablecraft.llm import infill, lm, merkle, minhash, neighbours, packing, pii, quality, sampling, toxicity, urlfilter, warc
 from tablecraft.llm.resources import tokenizer_file
 from tablecraft.llm.simhash import near_copies
 from tablecraft.plans.lineage import checkpoint_home
@@ -111,3 +111,11 @@ def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op12_infill"] = infill.SQL
+
+
+@query
+def op13_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_copies(table(spark, folder, "documents"), words=2)
+
+
+ORACLE["op13_minhash"] = minhash.SQL
