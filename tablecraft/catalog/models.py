@@ -11,12 +11,14 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomFor
 from pyspark.sql import functions as F
 
 from tablecraft.catalog.registry import query
-from tablecraft.ml import linear, metrics, net, trees, tune
+from tablecraft.ml import ensembles, linear, metrics, net, trees, tune
 
 c = F.col
 
 X = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 FOREST = {"numTrees": 100, "maxDepth": 5, "seed": 18}
+#: Trees of the ensembles that are grown together.
+TREES = 500
 
 
 def lines(t):
@@ -314,19 +316,75 @@ def fit_adaboost(t):
 @query()
 def bagging(t):
     rows = vectors(t)
-    return predicted(trees.BaggedTrees("vec_id", 5).fit(rows), rows, "vec_id")
+    return predicted(trees.BaggedTrees("vec_id", TREES).fit(rows), rows, "vec_id")
 
 
 @query()
 def pasting(t):
     rows = vectors(t)
-    return predicted(trees.BaggedTrees("vec_id", 5, replace=False).fit(rows), rows, "vec_id")
+    return predicted(trees.BaggedTrees("vec_id", TREES, replace=False).fit(rows), rows, "vec_id")
 
 
 @query()
 def oob_score(t):
     rows = vectors(t, "half")
-    return trees.BaggedTrees("vec_id", 8).fit(rows).oob_score(rows)
+    return trees.BaggedTrees("vec_id", TREES).fit(rows).oob_score(rows)
+
+
+# The same ensembles of trees with one split, whose rows are drawn by a rule that SQL can state: each tree has its own multiplier.
+
+_MULTIPLIERS = list(range(3, 3 + 2 * 51, 2))
+_ONLY = ensembles.Forest("l_orderkey", len(_MULTIPLIERS), columns=1).drawn_columns(2)[:, 0].tolist()
+
+
+def _drawn_sql(rule, only="true", score="k"):
+    """Per row and tree (w, said): the weight and what the tree's better side says."""
+    return f"""WITH d AS (SELECT row_number() OVER () AS row, l_orderkey, l_linenumber, l_suppkey, l_quantity AS q, l_linenumber::DOUBLE AS n, l_extendedprice / 1000 AS y, (l_quantity * l_linenumber > 80)::INTEGER::DOUBLE AS k FROM lineitem),
+t AS (SELECT unnest({_MULTIPLIERS}) AS b, unnest({_ONLY}) AS one),
+g AS (SELECT b, f, v, sum({rule}) AS m, sum({rule} * {score}) AS s FROM (SELECT *, 'q' AS f, q AS v FROM d UNION ALL SELECT *, 'n', n FROM d), t WHERE {only} GROUP BY ALL),
+r AS (SELECT b, f, v, sum(m) OVER w AS m, sum(s) OVER w AS s, sum(m) OVER (PARTITION BY b, f) AS mt, sum(s) OVER (PARTITION BY b, f) AS st FROM g WINDOW w AS (PARTITION BY b, f ORDER BY v)),
+p AS (SELECT b, f, v, s / m AS low, (st - s) / (mt - m) AS high FROM r WHERE m < mt AND m > 0
+  QUALIFY row_number() OVER (PARTITION BY b ORDER BY s * s / m + (st - s) * (st - s) / (mt - m) DESC, f DESC, v) = 1),
+a AS (SELECT d.*, b, {rule} AS w, CASE WHEN (CASE f WHEN 'q' THEN q ELSE n END) <= v THEN low ELSE high END AS said FROM d, p)"""
+
+
+_TIMES, _ONCE = "((l_orderkey * b + l_linenumber) % 7 % 3)", "((l_orderkey * b + l_linenumber) % 7 % 2)"
+_VOTE = " SELECT l_orderkey, l_linenumber, l_suppkey, (avg((said > 0.5)::INTEGER) > 0.5)::INTEGER::DOUBLE AS prediction FROM a GROUP BY row, l_orderkey, l_linenumber, l_suppkey"
+
+
+def _drawn(rule):
+    return F.array(*[F.expr(rule.replace(" b ", f" {b} ")) for b in _MULTIPLIERS])
+
+
+def _stumps(t, rule, label="k", **more):
+    y = (c("l_quantity") * c("l_linenumber") > 80).cast("double") if label == "k" else c("l_extendedprice") / 1000
+    rows = stump_rows(t, y)
+    return rows, ensembles.Forest("l_orderkey", len(_MULTIPLIERS), depth=1, bins=64, weights=rule and _drawn(rule), **more).fit(rows)
+
+
+@query(_drawn_sql(_TIMES) + _VOTE)
+def bagging_stumps(t):
+    rows, model = _stumps(t, _TIMES)
+    return model.transform(rows).select("l_orderkey", "l_linenumber", "l_suppkey", "prediction")
+
+
+@query(_drawn_sql(_ONCE) + _VOTE)
+def pasting_stumps(t):
+    rows, model = _stumps(t, _ONCE)
+    return model.transform(rows).select("l_orderkey", "l_linenumber", "l_suppkey", "prediction")
+
+
+@query(_drawn_sql(_TIMES) + """, v AS (SELECT k, (avg((said > 0.5)::INTEGER) > 0.5)::INTEGER AS vote FROM a WHERE w = 0 GROUP BY row, k)
+SELECT round(avg((vote = k)::INTEGER), 6) AS oob_accuracy, count(*) AS rows FROM v""")
+def oob_score_stumps(t):
+    rows, model = _stumps(t, _TIMES)
+    return model.oob_score(rows).select(F.round("oob_accuracy", 6).alias("oob_accuracy"), "rows")
+
+
+@query(_drawn_sql("1", only="(f = 'n')::INTEGER = one", score="y") + " SELECT l_orderkey, l_linenumber, l_suppkey, round(avg(said), 4) AS prediction FROM a GROUP BY row, l_orderkey, l_linenumber, l_suppkey")
+def random_subspace_stumps(t):
+    rows, model = _stumps(t, None, "y", classes=False, columns=1, replace=False, share=1.0)
+    return model.transform(rows).select("l_orderkey", "l_linenumber", "l_suppkey", F.round("prediction", 4).alias("prediction"))
 
 
 def _rule(b):
@@ -348,14 +406,10 @@ def bootstrap_stat_random(t):
 
 @query()
 def random_subspace(t):
-    rows = t.lineitem.select("l_orderkey", *[c(x).cast("double").alias(x) for x in X], (c("l_extendedprice") / 1000).alias("label"))
-    out, names = rows, []
-    for m, part in enumerate(trees.subspaces(X, 3, 2, seed=5)):
-        tree = DecisionTreeRegressor(maxDepth=3, featuresCol=f"x{m}", predictionCol=f"p{m}")
-        out = tree.fit(linear.with_features(rows, part, f"x{m}")).transform(linear.with_features(out, part, f"x{m}"))
-        names.append(f"p{m}")
-    mean = sum((c(n) for n in names[1:]), c(names[0])) / len(names)
-    return out.select("l_orderkey", "l_linenumber", "label", mean.alias("prediction"))
+    """Every tree sees all rows and two of the four columns."""
+    rows = lines(t)
+    model = ensembles.Forest("l_orderkey", TREES, depth=3, classes=False, columns=2, replace=False, share=1.0, seed=5).fit(rows)
+    return model.transform(rows).select("l_orderkey", "l_linenumber", "label", "prediction")
 
 
 # combining given predictions

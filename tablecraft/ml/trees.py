@@ -10,6 +10,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablecraft.ml.ensembles import Forest
 from tablecraft.plans.lineage import materialize
 
 GRAIN = 1 << 30
@@ -49,36 +50,11 @@ def majority(votes: list[Column]) -> Column:
     return -F.array_max(tally)["v"]
 
 
-class BaggedTrees:
-    """Trees on samples with replacement (bagging) or without (pasting)."""
+class BaggedTrees(Forest):
+    """Classification trees on samples with replacement (bagging) or without (pasting), all grown together."""
 
-    def __init__(self, key: str, models: int = 10, replace: bool = True, share: float = 0.5, depth: int = 5, seed: int = 0):
-        self.key, self.count, self.replace, self.share = key, models, replace, share
-        self.depth, self.seed = depth, seed
-        self.models: list = []
-
-    def _weight(self, model: int) -> Column:
-        u = hash_uniform(self.key, model, self.seed)
-        return poisson_weight(u) if self.replace else F.when(u < self.share, 1.0).otherwise(0.0)
-
-    def fit(self, df: DataFrame) -> BaggedTrees:
-        tree = DecisionTreeClassifier(maxDepth=self.depth, weightCol="_weight", seed=self.seed)
-        self.models = [tree.fit(df.withColumn("_weight", self._weight(m)).filter("_weight > 0")) for m in range(self.count)]
-        return self
-
-    def transform(self, df: DataFrame, unseen_only: bool = False) -> DataFrame:
-        """Add the majority vote; ``unseen_only`` asks only trees that did not train on the row."""
-        out, votes = df, []
-        for m, model in enumerate(self.models):
-            out = model.transform(out).withColumnRenamed("prediction", f"_v{m}").drop("rawPrediction", "probability")
-            vote = F.col(f"_v{m}")
-            votes.append(F.when(self._weight(m) == 0, vote) if unseen_only else vote)
-        return out.withColumn("prediction", majority(votes)).drop(*[f"_v{m}" for m in range(self.count)])
-
-    def oob_score(self, df: DataFrame, label: str = "label") -> DataFrame:
-        rows = self.transform(df, unseen_only=True).filter("prediction IS NOT NULL")
-        return rows.agg(F.avg((F.col("prediction") == F.col(label)).cast("double")).alias("oob_accuracy"),
-                        F.count(F.lit(1)).alias("rows"))
+    def __init__(self, key: str, models: int = 500, replace: bool = True, share: float = 0.5, depth: int = 5, seed: int = 0, **more):
+        super().__init__(key, models, depth, replace=replace, share=share, seed=seed, **more)
 
 
 class BoostedTrees:
@@ -144,12 +120,6 @@ def best_iteration(train: DataFrame, valid: DataFrame, label: str, most: int = 2
     return errors, best, boost(best).fit(train)
 
 
-def subspaces(columns: list[str], models: int, size: int, seed: int = 0) -> list[list[str]]:
-    """Column subsets for models that see only a part of the features."""
-    pick = np.random.default_rng(seed)
-    return [sorted(pick.choice(columns, size, replace=False).tolist()) for _ in range(models)]
-
-
 def bootstrap_statistics(df: DataFrame, value: str, weights: list[Column]) -> DataFrame:
     """Weighted mean per replicate and the standard error over replicates, in one pass."""
     x = F.col(value).cast("double")
