@@ -6,10 +6,11 @@ import math
 
 import numpy as np
 from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablecraft.ml.boosting import StagedBoost
 from tablecraft.ml.ensembles import Forest
 from tablecraft.plans.lineage import materialize
 
@@ -110,14 +111,13 @@ def residual_trees(df: DataFrame, label: str, trees: int = 3, depth: int = 2, bi
     return fitted, rows.drop("_rest")
 
 
-def best_iteration(train: DataFrame, valid: DataFrame, label: str, most: int = 20, depth: int = 2):
-    """(errors after each tree on the validation rows, best count, model refitted with it)."""
-    def boost(n: int) -> GBTRegressor:
-        return GBTRegressor(maxIter=n, maxDepth=depth, labelCol=label, seed=0)
+def best_iteration(train: DataFrame, valid: DataFrame, label: str, most: int = 500, depth: int = 2, rate: float = 0.1, patience: int | None = None):
+    """(errors after each tree on the validation rows, best count, model with that many trees).
 
-    errors = boost(most).fit(train).evaluateEachIteration(valid, "squared")
-    best = int(np.argmin(errors)) + 1
-    return errors, best, boost(best).fit(train)
+    ``patience`` ends the search once that many trees in a row brought nothing better; without it all ``most`` are searched.
+    """
+    model = StagedBoost(most, depth, rate, patience=patience).fit(train, valid, label=label)
+    return model.errors, model.best, model.keep_best()
 
 
 def bootstrap_statistics(df: DataFrame, value: str, weights: list[Column]) -> DataFrame:

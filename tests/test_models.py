@@ -162,7 +162,7 @@ def test_network_gradient_and_training(spark):
     nets, costs = net.train_networks(df, "x", "y", [1, 6], steps=3)
     serial = net.Weights.random(2, 6, 2)
     for _ in range(3):
-        serial = serial.moved(serial.gradient(x, y) / 300, 1.2)
+        serial = serial.moved(serial.gradient(x, y)[:-1] / 300, 1.2)
     assert np.allclose(nets[1].w1, serial.w1) and nets[1].b2 == pytest.approx(serial.b2)
     assert len(costs[0]) == 3
     p = [r[0] for r in df.select(net.probability(serial, "x")).collect()]
@@ -179,6 +179,34 @@ def test_network_learns_and_weights_apply_to_plain_inputs(spark):
     assert hits[1] > 0.9 > hits[0] and costs[1][-1] < 0.3 * costs[1][0]
 
 
+def test_second_order_steps_reach_the_cost_of_ten_thousand_plain_ones(spark):
+    draw = np.random.default_rng(9)
+    x = draw.normal(size=(400, 3))
+    y = ((x[:, 0] * x[:, 1] + 0.5 * x[:, 2] + draw.normal(0, 0.7, 400)) > 0).astype(int)
+    df = spark.createDataFrame([([float(v) for v in a], int(k)) for a, k in zip(x, y)], "x array<double>, y int")
+    nets, costs = net.train_networks(df, "x", "y", [2, 4], steps=400, scale=0.5, solver="lbfgs")
+    for found, cost, hidden in zip(nets, costs, (2, 4)):
+        plain = net.Weights.random(3, hidden, 2, 0.5)
+        for _ in range(10_000):
+            plain = plain.moved(plain.gradient(x, y)[:-1] / 400, 1.2)
+        assert found.gradient(x, y)[-1] <= 1.01 * plain.gradient(x, y)[-1]
+        assert len(cost) < 1500 and found.gradient(x, y)[-1] / 400 == pytest.approx(min(cost))
+
+
+def test_second_order_steps_solve_a_quadratic_exactly():
+    draw = np.random.default_rng(1)
+    matrix = draw.normal(size=(30, 12))
+    matrix, goal = matrix.T @ matrix + np.eye(12), draw.normal(size=12)
+    run = net.lbfgs(np.zeros(12), 200, tolerance=1e-14)
+    point = next(run)
+    try:
+        while True:
+            gap = point - goal
+            point = run.send((0.5 * gap @ matrix @ gap, matrix @ gap))
+    except StopIteration as done:
+        assert np.allclose(done.value, goal, atol=1e-5)
+
+
 def test_folds_and_splits(moons):
     df, _, _ = moons
     dealt = folds.kfold_stratified(df.select("id", "label"), 4, "label", ["id"], "f").groupBy("label", "f").count().collect()
