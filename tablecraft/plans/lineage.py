@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -37,3 +38,12 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files and checkpoints that no frame refers to any more.
+
+    Spark does so when the driver collects garbage, which a job of many short stages may not come to for hours.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
