@@ -1,5 +1,7 @@
 """Elementwise math, arrays, strings and dates."""
 
+import unicodedata
+
 from pyspark.sql import functions as F
 
 from tablecraft.catalog.registry import query
@@ -252,7 +254,24 @@ def str_translate(t):
     return t.documents.select("doc_id", F.translate("text", "abcé", "xyz").alias("text"))
 
 
-@query()
+#: Letters that fall apart into a letter and a mark, as far as the texts have them.
+_MARKED = [chr(n) for n in range(0xC0, 0x100) if len(unicodedata.normalize("NFKD", chr(n))) == 2]
+_PLAIN = "text"
+for _letter in _MARKED:
+    _PLAIN = f"replace({_PLAIN}, '{_letter}', '{unicodedata.normalize('NFKD', _letter)}')"
+
+
+@query(f"""WITH d AS (SELECT doc_id, text, {_PLAIN} AS plain,
+  string_split(regexp_replace(regexp_replace(text, '(\\p{{L}}{{2}}-)(\\p{{L}}{{2}})', '\\1 ' || chr(1) || '\\2', 'g'), '[ \\t-\\r]+', ' ', 'g'), ' ') AS words FROM documents),
+w AS (SELECT doc_id, plain, list_transform(words, lambda x: {{'t': ltrim(x, chr(1)), 'n': length(ltrim(x, chr(1))), 'g': CASE WHEN x[1] = chr(1) THEN '' ELSE ' ' END}}) AS words FROM d),
+f AS (SELECT doc_id, plain, list_reduce(words, lambda a, x: CASE
+  WHEN a.n + length(x.g) + x.n <= 40 THEN {{'t': a.t || x.g || x.t, 'n': a.n + length(x.g) + x.n, 'g': ''}}
+  WHEN x.n <= 40 THEN {{'t': a.t || chr(10) || x.t, 'n': x.n, 'g': ''}}
+  WHEN a.n + length(x.g) >= 40 THEN {{'t': a.t || CASE WHEN a.n + length(x.g) = 40 THEN x.g ELSE '' END || chr(10) || x.t[:40] || chr(10) || x.t[41:], 'n': x.n - 40, 'g': ''}}
+  WHEN x.n - (40 - a.n - length(x.g)) <= 40 THEN {{'t': a.t || x.g || x.t[:40 - a.n - length(x.g)] || chr(10) || x.t[41 - a.n - length(x.g):], 'n': x.n - (40 - a.n - length(x.g)), 'g': ''}}
+  ELSE {{'t': a.t || x.g || x.t[:40 - a.n - length(x.g)] || chr(10) || x.t[41 - a.n - length(x.g):80 - a.n - length(x.g)] || chr(10) || x.t[81 - a.n - length(x.g):], 'n': x.n - (80 - a.n - length(x.g)), 'g': ''}} END,
+  {{'t': '', 'n': -1, 'g': ''}}) AS r FROM w)
+SELECT doc_id, plain, ltrim(r.t) AS wrapped FROM f""")
 def str_normalize_wrap(t):
     return t.documents.select("doc_id", st.normalize_nfkd("text").alias("plain"), st.wrap(c("text"), 40).alias("wrapped"))
 

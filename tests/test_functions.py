@@ -1,5 +1,6 @@
 """Scalar functions against Python and pandas."""
 
+import random
 import textwrap
 import unicodedata
 
@@ -62,6 +63,20 @@ def test_search_and_split(words):
     both(words, sx.wrap(F.col(s), 6), lambda w: "\n".join(textwrap.wrap(w, 6)))
 
 
+def test_lines_are_filled_as_by_a_plain_fold(spark):
+    """Random texts against the standard library, with words that are longer than a line and hyphens."""
+    pick = random.Random(3)
+    parts = ["a", "bcd", "efghi", "x" * 9, "y" * 14, "z" * 30, "ab-cd", "12-34", "a-b", "é", "漢字", ".", "well-known,"]
+    for width in (5, 12, 20):
+        short = [p for p in parts if "-" not in p or len(p) <= width]
+        texts = ["".join(pick.choice(short) + pick.choice([" ", "  ", "\n", " \r\n"]) for _ in range(pick.randint(0, 60))) for _ in range(300)]
+        texts = [t.lstrip() for t in texts] + ["", " ", "\n" * 50]
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, s string")
+        got = {r.i: r.x for r in df.select("i", sx.wrap(F.col("s"), width).alias("x")).collect()}
+        for i, t in enumerate(texts):
+            assert got[i] == "\n".join(textwrap.wrap(t, width)), (t, width)
+
+
 def test_index_fails_when_absent(spark):
     df = spark.createDataFrame([("abc",)], "s string")
     assert df.select(sx.index(F.col(s), "c"), sx.rindex(F.col(s), "a")).first()[:] == (2, 0)
