@@ -14,7 +14,7 @@ from tablecraft.llm.components import components
 from tablecraft.llm.simhash import whole_cells
 from tablecraft.llm.skew import join_sized
 from tablecraft.llm.textual import octets
-from tablecraft.plans.lineage import materialize, remove_folder, scratch_folder
+from tablecraft.plans.lineage import materialize, release, remove_folder, scratch_folder
 
 #: Bins of the one permutation (by the high bits of a hash), and bins in a band.
 BIN_BITS, BAND = 7, 4
@@ -25,10 +25,8 @@ AGREEING = 77
 REMEMBERED = 500_000
 #: Documents that are confirmed against one copy of a star's centre.
 STAR = 256
-#: Members, or rows outside of the centre's class, that one cell of a bucket holds.
-BLOCK = 4096
-#: Candidates a round takes from each row's list of sets with enough equal bins, best first; then eight times as many.
-FIRST_LIST = 8
+#: Members, or rows outside of the centre's class, that one cell of a bucket or family holds.
+BLOCK = 1024
 
 _PROBES = np.stack([np.random.default_rng(i).permutation(BINS) for i in range(BINS)])
 _BORDERS = np.arange(BINS, dtype=np.uint64) << np.uint64(64 - BIN_BITS)
@@ -164,36 +162,32 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
     return rows.repartition("a", "copy").sortWithinPartitions("a", "copy", "b").mapInArrow(check, "a bigint, b bigint")
 
 
-def _cells(sets: DataFrame, classes: DataFrame) -> DataFrame:
-    """Buckets that stars have not settled, as cells (cell, node, n, bins, member, outside) of bounded size.
+def _cells(shared: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Buckets that stars have not settled, as cells (cell, node, root, n, bins, outside) of bounded size.
 
     A bucket is settled if all its members are in one class, or if it holds no more than its centre and one other. In the others a
     link can be missing only where one end at least is outside of the centre's class; these rows visit all blocks of members.
     """
-    rooted = sets.where("n > 0").join(classes, sets.node == classes.member, "left").select(
-        F.explode("keys").alias("key"), "node", F.coalesce("root", "node").alias("root"))
+    rooted = shared.join(classes, shared.node == classes.member, "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     first = F.min(F.struct("node", "root"))
     buckets = rooted.groupBy("key").agg(F.count("*").alias("size"), first.alias("first"), F.min("root").alias("low"), F.max("root").alias("high"))
     open_ = materialize(buckets.where("size > 2 and low < high").select("key", "size", F.col("first.root").alias("inner")))
-    placed = join_sized(rooted, open_, "key", "size").withColumn("outside", F.col("root") != F.col("inner"))
-    outer = placed.groupBy("key").agg(F.count_if("outside").alias("outer"), F.first("size").alias("rows"))
+    placed = materialize(join_sized(rooted, open_, "key", "size").withColumn("outside", F.col("root") != F.col("inner")))
+    outer = materialize(placed.groupBy("key").agg(F.count_if("outside").alias("outer"), F.first("size").alias("rows")))
     sized = join_sized(placed, outer, "key", "rows")
     lanes, blocks = F.ceil(F.col("outer") / BLOCK).cast("int"), F.ceil(F.col("size") / BLOCK).cast("int")
     own_lane, own_block = F.pmod(F.xxhash64("node"), lanes).cast("int"), F.pmod(F.xxhash64("node"), blocks).cast("int")
-    as_member = sized.select("key", "node", F.explode(F.sequence(F.lit(0), lanes - 1)).alias("lane"), own_block.alias("block"), F.lit(False).alias("outside"))
-    as_outside = sized.where("outside").select("key", "node", own_lane.alias("lane"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("outside"))
-    both = as_member.unionAll(as_outside).select(F.xxhash64("key", "lane", "block").alias("cell"), "node", "outside")
+    as_member = sized.select("key", "node", "root", F.explode(F.sequence(F.lit(0), lanes - 1)).alias("lane"), own_block.alias("block"), F.lit(False).alias("outside"))
+    as_outside = sized.where("outside").select("key", "node", "root", own_lane.alias("lane"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("outside"))
+    both = as_member.unionAll(as_outside).select(F.xxhash64("key", "lane", "block").alias("cell"), "node", "root", "outside")
     return both.join(sets.select("node", "n", "bins"), "node")
 
 
-def _lists(cells: DataFrame, classes: DataFrame, start: int, end: int, percent: int) -> DataFrame:
-    """(a, b): for each outside row of a cell, the places ``start`` to ``end`` of its list of members with enough equal bins, best first.
+def _families(cells: DataFrame, percent: int) -> DataFrame:
+    """Classes (member, root) of the sets that could be linked to a set of another class: sizes and bins allow it.
 
-    The list does not depend on classes, so lists are read to their end in turn; pairs that have come into one class are left out. A pair
-    without b tells that the list goes on behind the end with members of other classes.
+    A task emits for each cell a forest of such pairs, never all of them.
     """
-    rows = cells.join(classes, cells.node == classes.member, "left").select(
-        "cell", "node", "n", "bins", "outside", F.coalesce("root", "node").alias("root"))
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in whole_cells(batches, "cell"):
@@ -203,51 +197,113 @@ def _lists(cells: DataFrame, classes: DataFrame, start: int, end: int, percent:
             bins = np.frombuffer(b"".join(frame["bins"]), dtype=np.uint8).reshape(-1, BINS)
             for low, high in zip(cuts[:-1], cuts[1:]):
                 member = low + np.flatnonzero(~outside[low:high])
-                if not len(member):
-                    continue
-                node, n, root, table = nodes[member], sizes[member], roots[member], bins[member]
+                n, table, forest = sizes[member], bins[member], Forest()
                 for i in low + np.flatnonzero(outside[low:high]):
-                    agree = (table == bins[i]).sum(axis=1)
-                    fits = (agree >= AGREEING) & (100 * np.minimum(n, sizes[i]) >= percent * np.maximum(n, sizes[i])) & (node != nodes[i])
-                    listed = np.flatnonzero(fits)
-                    listed = listed[np.lexsort((node[listed], -agree[listed]))]
-                    other = root[listed] != roots[i]
-                    found.extend((nodes[i], b) for b in node[listed[start:end][other[start:end]]])
-                    if other[end:].any():
-                        found.append((nodes[i], -1))
+                    fits = (100 * np.minimum(n, sizes[i]) >= percent * np.maximum(n, sizes[i])) & (roots[member] != roots[i])
+                    near = member[fits][(table[fits] == bins[i]).sum(axis=1) >= AGREEING]
+                    found.extend((nodes[i], b) for b in nodes[near].tolist() if forest.join(nodes[i], b))
             yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return rows.repartition("cell").sortWithinPartitions("cell").mapInPandas(pick, "a bigint, b bigint")
+    return _classes(cells.repartition("cell").sortWithinPartitions("cell").mapInPandas(pick, "a bigint, b bigint"))
+
+
+class Forest:
+    """Classes that grow by joining two members at a time."""
+
+    def __init__(self):
+        self.above: dict = {}
+
+    def root(self, node):
+        path = []
+        while self.above.get(node, node) != node:
+            path.append(node)
+            node = self.above[node]
+        self.above.update(dict.fromkeys(path, node))
+        return node
+
+    def join(self, a, b) -> bool:
+        """True if the two were in different classes."""
+        a, b = self.root(a), self.root(b)
+        self.above[b] = a
+        return a != b
+
+
+def _settled(families: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between the classes of a family, on full sets.
+
+    A large family is cut into blocks, and each pair of blocks is a cell. A task holds the sets of a cell as one table of shingles; a row outside of the cell's
+    largest class is held against all others at once, by adding up its shingles along the table. It emits a forest of the links.
+    """
+    rows = families.select("member", F.col("root").alias("family"))
+    rows = rows.join(classes.withColumnRenamed("root", "known"), "member", "left").withColumn("known", F.coalesce("known", "member"))
+    sizes = rows.groupBy("family").agg(F.count("*").alias("size"))
+    cut = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("member"), cut).cast("int")
+    placed = join_sized(rows, materialize(sizes), "family", "size").select(
+        "family", "member", "known", own.alias("own"), F.explode(F.sequence(F.lit(0), cut - 1)).alias("other"))
+    cells = placed.select(F.xxhash64("family", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "member", "known")
+    held = cells.join(texts, cells.member == texts.row).select("cell", "member", "known", "text")
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, current, members, known, sets = Shingles(words), None, [], [], []
+        for batch in batches:
+            found = []
+            for cell, member, root, text in zip(*(batch.column(i) for i in range(3)), batch.column(3)):
+                if cell.as_py() != current:
+                    found.extend(_linked(members, known, sets, percent))
+                    current, members, known, sets = cell.as_py(), [], [], []
+                members.append(member.as_py())
+                known.append(root.as_py())
+                sets.append(shingles.of(text.as_py()))
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], "int64") for i in (0, 1)], ["a", "b"])
+        found = list(_linked(members, known, sets, percent))
+        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], "int64") for i in (0, 1)], ["a", "b"])
+
+    return held.repartition("cell").sortWithinPartitions("cell", "member").mapInArrow(settle, "a bigint, b bigint")
+
+
+def _linked(members: list[int], known: list[int], sets: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """A forest of the links between classes of some sets."""
+    if len(set(known)) < 2:
+        return
+    sizes, forest = np.array([len(s) for s in sets]), Forest()
+    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    starts, has = np.r_[0, np.cumsum(sizes)[:-1]], np.zeros(len(values), dtype=np.int32)
+    roots, counts = np.unique(known, return_counts=True)
+    known = np.array(known)
+    for i in np.flatnonzero(known != roots[counts.argmax()]):
+        mine = column[starts[i]:starts[i] + sizes[i]]
+        has[mine] = 1
+        both = np.add.reduceat(has[column], starts)
+        has[mine] = 0
+        for j in np.flatnonzero((100 * both >= percent * (sizes + sizes[i] - both)) & (known != known[i])):
+            if forest.join(known[i], known[j]):
+                yield members[i], members[j]
 
 
 def linked_sets(sets: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Classes (member, root) of the distinct sets (node, n, keys, bins) that are linked; sets without a link are left out.
 
-    First every bucket is a star: its smallest node is held against the others. Buckets whose members are then in more than one class
-    go on with lists, in rounds, until every list is read to its end; a link between two sets that share a band is found either way.
+    First every bucket is a star: its smallest node is held against the others. In buckets whose members are then in more than one class,
+    sets whose bins allow a link to another class form families, and families are settled whole; so two linked sets that share a
+    band end in one class either way.
     """
     keyed = sets.where("n > 0").select("node", F.explode("keys").alias("key"))
     stars = materialize(keyed.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("size")).where("size > 1"))
-    pairs = join_sized(keyed, stars, "key", "size").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    pairs = materialize(_promising(materialize(pairs), sets, percent))
+    shared = materialize(join_sized(keyed, stars, "key", "size").select("key", "node", "a"))
+    pairs = materialize(shared.where("node <> a").select("a", F.col("node").alias("b")).distinct())
+    pairs = materialize(_promising(pairs, sets, percent))
+    release(sets.sparkSession)
     links = materialize(_confirmed(pairs, texts, words, percent))
     classes = _classes(links)
-    cells, start, width = materialize(_cells(sets, classes)), 0, FIRST_LIST
-    while True:
-        found = materialize(_lists(cells, classes, start, start + width, percent))
-        more = found.where("b < 0").limit(1).count()
-        fresh = found.where("b >= 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-        fresh = materialize(fresh)
-        if fresh.limit(1).count():
-            links = materialize(links.unionAll(_confirmed(fresh, texts, words, percent)))
-            classes = _classes(links)
-        if not more:
-            return classes
-        pairs, start, width = materialize(pairs.unionAll(fresh)), start + width, 8 * width
+    families = _families(_cells(shared, sets, classes), percent)
+    return _classes(links.unionAll(_settled(families, classes, texts, words, percent)))
 
 
 def _classes(links: DataFrame) -> DataFrame:
-    return materialize(components(links).withColumnRenamed("node", "member"))
+    classes = materialize(components(links).withColumnRenamed("node", "member"))
+    release(links.sparkSession)  # the rounds leave many small files behind
+    return classes
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
