@@ -118,7 +118,7 @@ def _sketches(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
 
 
 def _promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sizes allow the similarity and whose bins agree often enough."""
+    """(a, b, degree) of the pairs whose sizes allow the similarity and whose bins agree often enough; a has ``degree`` pairs before that."""
     facts = sets.select("node", "n", "bins")
     degrees = pairs.groupBy("a").agg(F.count("*").alias("degree"))
     centre = facts.join(degrees, facts.node == degrees.a).select("a", "degree", F.col("n").alias("n_a"), F.col("bins").alias("bins_a"))
@@ -130,19 +130,18 @@ def _promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         a, b = (np.frombuffer(b"".join(s), dtype=np.uint8).reshape(-1, BINS) for s in (left, right))
         return pd.Series((a == b).sum(axis=1) >= AGREEING)
 
-    return sized.where(close("bins_a", "bins")).select("a", "b")
+    return sized.where(close("bins_a", "bins")).select("a", "b", "degree")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked, by their full sets.
+    """The pairs (a, b) that are linked, by their full sets; ``degree`` bounds the pairs of an a.
 
     A star's centre is sent to as many cells as its members need; a task reads a cell's rows one by one, the centre first,
     and holds one set and the row at hand.
     """
-    stars = pairs.groupBy("a").agg(F.count("*").alias("degree"))
-    copies = F.ceil(F.col("degree") / STAR).cast("int").alias("copies")
-    members = join_sized(pairs, stars.select("a", "degree", copies), "a", "degree").select("a", "b", F.pmod(F.xxhash64("b"), "copies").cast("int").alias("copy"))
-    centres = stars.select("a", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
+    copies = F.ceil(F.col("degree") / STAR).cast("int")
+    members = pairs.select("a", "b", F.pmod(F.xxhash64("b"), copies).cast("int").alias("copy"))
+    centres = members.select("a", "copy").distinct()
     rows = members.join(texts, members.b == texts.row).select("a", "copy", "b", "text").unionAll(
         centres.join(texts, centres.a == texts.row).select("a", "copy", F.lit(-1).cast("long").alias("b"), "text"))
 
@@ -170,23 +169,23 @@ def _cells(shared: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
     """
     rooted = shared.join(classes, shared.node == classes.member, "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     first = F.min(F.struct("node", "root"))
+    # the centre is the smallest node
     buckets = rooted.groupBy("key").agg(F.count("*").alias("size"), first.alias("first"), F.min("root").alias("low"), F.max("root").alias("high"))
     open_ = materialize(buckets.where("size > 2 and low < high").select("key", "size", F.col("first.root").alias("inner")))
     placed = materialize(join_sized(rooted, open_, "key", "size").withColumn("outside", F.col("root") != F.col("inner")))
-    outer = materialize(placed.groupBy("key").agg(F.count_if("outside").alias("outer"), F.first("size").alias("rows")))
-    sized = join_sized(placed, outer, "key", "rows")
-    lanes, blocks = F.ceil(F.col("outer") / BLOCK).cast("int"), F.ceil(F.col("size") / BLOCK).cast("int")
-    own_lane, own_block = F.pmod(F.xxhash64("node"), lanes).cast("int"), F.pmod(F.xxhash64("node"), blocks).cast("int")
-    as_member = sized.select("key", "node", "root", F.explode(F.sequence(F.lit(0), lanes - 1)).alias("lane"), own_block.alias("block"), F.lit(False).alias("outside"))
-    as_outside = sized.where("outside").select("key", "node", "root", own_lane.alias("lane"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("outside"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own, all_of = F.pmod(F.xxhash64("node"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
+    as_member = placed.select("key", "node", "root", all_of.alias("lane"), own.alias("block"), F.lit(False).alias("outside"))
+    as_outside = placed.where("outside").select("key", "node", "root", own.alias("lane"), all_of.alias("block"), F.lit(True).alias("outside"))
     both = as_member.unionAll(as_outside).select(F.xxhash64("key", "lane", "block").alias("cell"), "node", "root", "outside")
     return both.join(sets.select("node", "n", "bins"), "node")
 
 
 def _families(cells: DataFrame, percent: int) -> DataFrame:
-    """Classes (member, root) of the sets that could be linked to a set of another class: sizes and bins allow it.
+    """(family, member): sets that could be linked to a set of another class, as sizes and bins allow it.
 
-    A task emits for each cell a forest of such pairs, never all of them.
+    The candidates of a cell form trees, and a tree's smallest set names its family; so both ends of every candidate are in a family together, and the
+    trees of a family in many buckets mostly have one name. A task emits a row for each set in a tree, never the pairs.
     """
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -201,10 +200,12 @@ def _families(cells: DataFrame, percent: int) -> DataFrame:
                 for i in low + np.flatnonzero(outside[low:high]):
                     fits = (100 * np.minimum(n, sizes[i]) >= percent * np.maximum(n, sizes[i])) & (roots[member] != roots[i])
                     near = member[fits][(table[fits] == bins[i]).sum(axis=1) >= AGREEING]
-                    found.extend((nodes[i], b) for b in nodes[near].tolist() if forest.join(nodes[i], b))
-            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+                    for b in nodes[near].tolist():
+                        forest.join(int(nodes[i]), b)
+                found.extend(forest.members())
+            yield pd.DataFrame(found, columns=["family", "member"], dtype="int64")
 
-    return _classes(cells.repartition("cell").sortWithinPartitions("cell").mapInPandas(pick, "a bigint, b bigint"))
+    return materialize(cells.repartition("cell").sortWithinPartitions("cell").mapInPandas(pick, "family bigint, member bigint").distinct())
 
 
 class Forest:
@@ -223,10 +224,14 @@ class Forest:
 
     def join(self, a, b) -> bool:
         """True if the two were in different classes."""
-        a, b = self.root(a), self.root(b)
+        a, b = sorted((self.root(a), self.root(b)))
         self.above[b] = a
         return a != b
 
+    def members(self) -> list[tuple]:
+        """(root, member) of all that were joined; a root is the smallest member."""
+        return [(self.root(node), node) for node in {*self.above, *self.above.values()}]
+
 
 def _settled(families: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) between the classes of a family, on full sets.
@@ -234,8 +239,7 @@ def _settled(families: DataFrame, classes: DataFrame, texts: DataFrame, words: i
     A large family is cut into blocks, and each pair of blocks is a cell. A task holds the sets of a cell as one table of shingles; a row outside of the cell's
     largest class is held against all others at once, by adding up its shingles along the table. It emits a forest of the links.
     """
-    rows = families.select("member", F.col("root").alias("family"))
-    rows = rows.join(classes.withColumnRenamed("root", "known"), "member", "left").withColumn("known", F.coalesce("known", "member"))
+    rows = families.join(classes.withColumnRenamed("root", "known"), "member", "left").withColumn("known", F.coalesce("known", "member"))
     sizes = rows.groupBy("family").agg(F.count("*").alias("size"))
     cut = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("member"), cut).cast("int")
@@ -295,11 +299,21 @@ def linked_sets(sets: DataFrame, texts: DataFrame, words: int, percent: int) ->
     pairs = materialize(_promising(pairs, sets, percent))
     release(sets.sparkSession)
     links = materialize(_confirmed(pairs, texts, words, percent))
-    classes = _classes(links)
+    classes = _one_step(links)
     families = _families(_cells(shared, sets, classes), percent)
     return _classes(links.unionAll(_settled(families, classes, texts, words, percent)))
 
 
+def _one_step(links: DataFrame) -> DataFrame:
+    """(member, root): for each linked set the smallest of itself and what it is linked to.
+
+    Sets of one root are in one class; a class may have several roots, which costs work later but no links.
+    """
+    both = links.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("link"))
+    near = both.groupBy(F.col("link.a").alias("member")).agg(F.min("link.b").alias("near"))
+    return materialize(near.select("member", F.least("member", "near").alias("root")))
+
+
 def _classes(links: DataFrame) -> DataFrame:
     classes = materialize(components(links).withColumnRenamed("node", "member"))
     release(links.sparkSession)  # the rounds leave many small files behind

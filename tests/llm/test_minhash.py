@@ -68,8 +68,8 @@ def test_rows_equal_all_pairs(spark, words):
     assert found(near_copies(rows_of(spark, given), words=words)) == plain(given, words)
 
 
-def test_rows_equal_all_pairs_when_cells_and_lists_are_small(spark, monkeypatch):
-    """Copies of a lost original: the smallest of a bucket is not linked to most, so lists and blocks have to find the links."""
+def test_rows_equal_all_pairs_when_stars_and_cells_are_small(spark, monkeypatch):
+    """Copies of a lost original: the smallest of a bucket is not linked to most, so families and blocks have to find the links."""
     pick = random.Random(5)
     words = ["".join(pick.choices("abcdefgh", k=5)) for _ in range(500)]
     base, given = pick.choices(words, k=120), []
@@ -80,7 +80,6 @@ def test_rows_equal_all_pairs_when_cells_and_lists_are_small(spark, monkeypatch)
         given.append((i, " ".join(copy)))
     monkeypatch.setattr(minhash, "BLOCK", 16)
     monkeypatch.setattr(minhash, "STAR", 4)
-    monkeypatch.setattr(minhash, "FIRST_LIST", 1)
     want = plain(given, 2)
     assert 1 < len({r[2] for r in want}) < 150
     assert found(near_copies(rows_of(spark, given), words=2)) == want
