@@ -38,14 +38,26 @@ def usable(vector: str) -> Column:
     return F.coalesce(fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def scaled(vector: str) -> Column:
+    """A usable vector in doubles, divided by a power of two near its largest component.
+
+    That is exact, leaves every cosine as it is to the last digit, and keeps squares of very large or tiny components
+    finite and above zero.
+    """
+    doubles = F.transform(vector, lambda x: x.cast("double"))
+    power = F.floor(F.log2(F.array_max(F.transform(doubles, lambda x: F.abs(x)))))
+    by = F.pow(F.lit(2.0), -F.greatest(F.least(power, F.lit(1000)), F.lit(-1000)))
+    return F.zip_with(doubles, F.array_repeat(by, F.size(vector)), lambda x, y: x * y)  # worked out once a vector
+
+
 def distinct_vectors(rows: DataFrame, key: str, vector: str, ids: int) -> DataFrame:
-    """(node, vector, code, length, ids): equal vectors once, with the ``ids`` smallest keys of those that have it.
+    """(node, vector, code, length, ids): equal vectors once (scaled, so that doubling makes no other vector), with the ``ids`` smallest keys of those that have it.
 
     Only vectors of the commonest dimension take part (of the larger, if two are equally common), and only rows
     with a key. Ties between equal vectors go to the smallest keys, so a result never needs more of
     them; the window keeps that many per vector and task before it is shuffled.
     """
-    good = rows.where(F.col(key).isNotNull() & usable(vector)).select(F.col(key).alias("id"), F.col(vector).alias("vector"))
+    good = rows.where(F.col(key).isNotNull() & usable(vector)).select(F.col(key).alias("id"), scaled(vector).alias("vector"))
     size = good.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     good = good.where(F.size("vector") == (size["n"] if size else 0)).distinct()
     first = good.withColumn("place", F.row_number().over(Window.partitionBy("vector").orderBy("id"))).where(F.col("place") <= ids)
@@ -59,9 +71,8 @@ def distinct_vectors(rows: DataFrame, key: str, vector: str, ids: int) -> DataFr
         v /= np.abs(v).max(axis=1, keepdims=True)
         return pd.Series([row.tobytes() for row in np.rint(v * 127).astype(np.int8)])
 
-    doubles = F.transform("vector", lambda x: x.cast("double"))
-    length = F.sqrt(F.aggregate(doubles, F.lit(0.0), lambda a, x: a + x * x))
-    return materialize(grouped.select(doubles.alias("vector"), coded("vector").alias("code"), length.alias("length"), "ids")).withColumn(
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    return materialize(grouped.select("vector", coded("vector").alias("code"), length.alias("length"), "ids")).withColumn(
         "node", F.monotonically_increasing_id())
 
 
@@ -209,7 +220,7 @@ def nearest(rows: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", v
     points = distinct_vectors(rows, key, vector, k + 1)
     graph = neighbour_graph(points)
     wanted = rows.where(F.coalesce(queries, F.lit(False)) & F.col(key).isNotNull() & usable(vector)).select(
-        F.col(key).alias("query_id"), F.transform(vector, lambda x: x.cast("double")).alias("vector")).distinct()
+        F.col(key).alias("query_id"), scaled(vector).alias("vector")).distinct()
     asked = materialize(wanted.join(points.select("vector", "length", "node"), "vector"))
     starts = asked.select(F.col("node").alias("query"), "vector", "length", "node").dropDuplicates(["query"])
     _, grown, most = sizes(points.count())
