@@ -1,39 +1,63 @@
-"""Exact, linearly interpolated percentiles that never hold a group in one task."""
+"""Exact, linearly interpolated percentiles that never hold a large group in one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.plans.groups import SIZE, join_back
+from tablecraft.plans.groups import join_back
 from tablecraft.plans.lineage import materialize
 from tablecraft.plans.ordering import running
 
+#: Rows of a group that one task may hold; larger groups are narrowed down first.
+LARGE = 1_000_000
+#: A sketch's ranks are off by one part in this many of a group at most.
+ACCURACY = 10_000
+
 
 def percentiles(df: DataFrame, keys: list[str], value: str, shares: dict[str, float]) -> DataFrame:
     """One row per group with the named percentiles (0..1) of ``value``.
 
-    Equal values are counted first, the counts are summed in value order across
-    partitions, and the values at the wanted positions are picked by an aggregate.
+    A group of at most ``LARGE`` rows is aggregated directly. In a larger one, a mergeable sketch brackets
+    each wanted position, the rows below the bracket are counted, and those inside are all that is left to look at.
     """
-    rows = df.filter(F.col(value).isNotNull())
-    counts = materialize(rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
-    order_keys = keys or ["_all"]
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    grouped = keys or ["_all"]
     if not keys:
-        counts = counts.withColumn("_all", F.lit(0))
-    seen = running(counts, order_keys, [value], {"_seen": ("sum", "_n")})
-    sizes = counts.groupBy(*order_keys).agg(F.count(F.lit(1)).alias(SIZE), F.sum("_n").alias("_total"))
-    seen = join_back(seen, materialize(sizes), order_keys)
-    picks = []
-    for name, q in shares.items():
-        spot = (F.col("_total") - 1) * F.lit(float(q))
-        for side, at in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
-            picks.append(F.min(F.when(F.col("_seen") > at, F.col(value))).alias(f"_{side}_{name}"))
-    picked = seen.groupBy(*order_keys, "_total").agg(*picks)
-    out = []
+        rows = rows.withColumn("_all", F.lit(0))
+    sizes = rows.groupBy(*grouped).agg(F.count(F.lit(1)).alias("_size"))
+    large = materialize(sizes.where(F.col("_size") > LARGE))
+    if not large.limit(1).count():
+        return _direct(rows, grouped, shares).select(*keys, *shares)
+    flag = F.coalesce(F.col("_size"), F.lit(0)) > 0
+    beside = join_back(rows, large, grouped)
+    done = _direct(beside.where(~flag), grouped, shares)
     for name, q in shares.items():
-        spot = (F.col("_total") - 1) * F.lit(float(q))
-        share = spot - F.floor(spot)
-        low, high = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
-        out.append((low + (high - low) * share).alias(name))
-    return picked.select(*keys, *out)
+        found = _narrowed(beside.where(flag), grouped, q).withColumnRenamed("_p", name)
+        large = join_back(large, found, grouped)
+    return done.unionByName(large.drop("_size")).select(*keys, *shares)
+
+
+def _direct(rows: DataFrame, keys: list[str], shares: dict[str, float]) -> DataFrame:
+    wanted = F.percentile("_v", F.array(*[F.lit(float(q)) for q in shares.values()]))
+    found = rows.groupBy(*keys).agg(wanted.alias("_p"))
+    return found.select(*keys, *[F.get("_p", F.lit(i)).alias(n) for i, n in enumerate(shares)])
+
+
+def _narrowed(rows: DataFrame, keys: list[str], q: float) -> DataFrame:
+    """(keys, _p) for groups (keys, _size, _v): the few values inside a bracket are counted in order across partitions."""
+    reach = 2 / ACCURACY
+    ends = {"_low": q - reach if q > reach else None, "_high": q + reach if q < 1 - reach else None}
+    bracket = materialize(rows.groupBy(*keys).agg(*[
+        (F.lit(None).cast("double") if at is None else F.percentile_approx("_v", F.lit(at), ACCURACY).cast("double")).alias(n) for n, at in ends.items()]))
+    inside = join_back(rows, bracket, keys)
+    above = F.coalesce(F.col("_v") >= F.col("_low"), F.lit(True))
+    kept = inside.where(above & F.coalesce(F.col("_v") <= F.col("_high"), F.lit(True)))
+    counts = materialize(kept.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"), F.first("_size").alias("_size")))
+    below = materialize(inside.where(~above).groupBy(*keys).agg(F.count(F.lit(1)).alias("_below")))
+    seen = join_back(running(counts, keys, ["_v"], {"_seen": ("sum", "_n")}), below, keys)
+    seen = seen.withColumn("_seen", F.col("_seen") + F.coalesce(F.col("_below"), F.lit(0)))
+    spot = (F.col("_size") - 1) * F.lit(float(q))
+    picks = seen.groupBy(*keys, "_size").agg(*[
+        F.min(F.when(F.col("_seen") > at, F.col("_v"))).cast("double").alias(n) for n, at in (("_a", F.floor(spot)), ("_b", F.ceil(spot)))])
+    return picks.select(*keys, (F.col("_a") + (F.col("_b") - F.col("_a")) * (spot - F.floor(spot))).alias("_p"))

@@ -58,3 +58,17 @@ def test_edges_become_lists_of_two(spark, rows):
 @pytest.mark.parametrize("people", [[1], [1, 1]])
 def test_lists_of_one_connect_nobody(spark, people):
     assert graph.comembership(members(spark, [people]), "person", "event").count() == 0
+
+
+def test_more_sources_than_a_word_and_lists_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(graph, "BLOCK", 3)
+    draw = np.random.default_rng(7)
+    events = [sorted(set(draw.integers(0, 150, draw.integers(2, 4)).tolist())) for _ in range(90)] + [list(range(0, 40, 2))]
+    far = floyd(events, 150)
+    got = {(r.src, r.dst): r for r in graph.hops(graph.comembership(members(spark, events), "person", "event")).collect()}
+    known = sorted({p for e in events if len(e) > 1 for p in e})
+    assert len(known) > 64
+    assert {k: r.hops for k, r in got.items()} == {(a, b): far[a, b] for a in known for b in known if math.isfinite(far[a, b])}
+    for (s, d), r in got.items():
+        near = [p for p in known if far[s, p] == r.hops - 1 and far[p, d] == 1]
+        assert r.previous == (min(near) if r.hops else None)

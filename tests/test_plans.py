@@ -68,6 +68,23 @@ def test_percentiles_match_numpy(hot, keys):
         assert np.allclose([r.a, r.b, r.c], np.quantile(data[r.k if keys else "all"], [0.25, 0.5, 0.99]))
 
 
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_percentiles_of_groups_that_are_narrowed_down(spark, monkeypatch, keys):
+    """Groups of all sizes around the limit, with ties at the wanted positions; the sketch is made rough."""
+    monkeypatch.setattr(quantiles, "LARGE", 50)
+    monkeypatch.setattr(quantiles, "ACCURACY", 40)
+    draw = np.random.default_rng(3)
+    data = {"ties": [1.0] * 900 + [2.0] * 100, "same": [7.0] * 300, "few": list(range(50)), "two": [1.0, 5.0], None: draw.normal(size=2000).tolist(),
+            "skewed": np.exp(draw.normal(size=3000) * 3).tolist(), "steps": [float(i // 60) for i in range(1200)]}
+    rows = [(k, float(v)) for k, values in data.items() for v in values] + [("two", None), ("lost", None)]
+    shares = {"z": 0.0, "a": 0.25, "b": 0.5, "c": 0.9, "d": 0.99, "e": 1.0}
+    got = quantiles.percentiles(spark.createDataFrame(rows, "k string, v double").repartition(5), keys, "v", shares).collect()
+    want = data if keys else {"all": [v for values in data.values() for v in values]}
+    assert len(got) == len(want)
+    for r in got:
+        assert np.allclose(list(r)[len(keys):], np.quantile(want[r.k if keys else "all"], list(shares.values())))
+
+
 def test_group_stats_stay_whole(hot):
     got = groups.with_group_stats(hot, ["k"], [F.avg("v").alias("m")]).collect()
     data = {}
