@@ -1,17 +1,21 @@
 """Sources, sinks and built tables."""
 
-import os
-import uuid
-
 from pyspark.sql import functions as F
 
 from tablecraft.catalog.registry import query
-from tablecraft.plans.lineage import checkpoint_home
+from tablecraft.plans.lineage import materialize, remove_folder, scratch_folder
 from tablecraft.sources import tables as src
 
 
 def _scratch(t):
-    return os.path.join(checkpoint_home(t.spark), f"csv-{uuid.uuid4().hex}")
+    return scratch_folder(t.spark, "csv")
+
+
+def _kept(t, rows, path):
+    """The rows as read back, without the files they were read from."""
+    rows = materialize(rows)
+    remove_folder(t.spark, path)
+    return rows
 
 
 @query("""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
@@ -19,14 +23,14 @@ FROM orders WHERE o_totalprice > 1000""")
 def scan_csv(t):
     path = _scratch(t)
     src.sink_csv(t.orders, path)
-    return src.scan_csv(t.spark, path, t.orders.schema).filter("o_totalprice > 1000")
+    return _kept(t, src.scan_csv(t.spark, path, t.orders.schema).filter("o_totalprice > 1000"), path)
 
 
 @query("SELECT doc_id, lang, source, text, n_chars FROM documents")
 def sink_csv(t):
     path = _scratch(t)
     src.sink_csv(t.documents, path)
-    return src.scan_csv(t.spark, path, t.documents.schema, multiline=True)
+    return _kept(t, src.scan_csv(t.spark, path, t.documents.schema, multiline=True), path)
 
 
 @query("SELECT l_orderkey, l_linenumber, l_shipdate, l_quantity FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'")

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from tablecraft.functions import arrays
 from tablecraft.operators.reshape import pivot_values
+from tablecraft.plans.groups import join_back
+from tablecraft.plans.lineage import materialize
 
 MAX_CLASSES = 100
 
@@ -166,26 +168,23 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Add ``weight``; the classes, few, become a literal condition."""
-    weights = {r[0]: r[1] for r in class_weights(df, label).limit(MAX_CLASSES + 1).collect()}
-    if len(weights) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
-    weight = F.lit(None).cast("double")
-    for value, w in weights.items():
-        weight = F.when(F.col(label) == value, F.lit(w)).otherwise(weight)
-    return df.withColumn("weight", weight)
+    """Add ``weight``, whatever the number of classes; a missing class has none."""
+    return join_back(df, materialize(class_weights(df, label).where(F.col(label).isNotNull())), [label])
 
 
 class OneVsOne:
-    """A binary model per pair of classes; the class with most wins, the smaller on ties."""
+    """A binary model per pair of classes; the class with most wins, the smaller on ties.
 
-    def __init__(self, estimator, label: str = "label", parallelism: int = 4):
-        self.estimator, self.label, self.parallelism = estimator, label, parallelism
+    There are ``classes * (classes - 1) / 2`` models, so more than ``most`` classes are refused rather than left out.
+    """
+
+    def __init__(self, estimator, label: str = "label", parallelism: int = 4, most: int = MAX_CLASSES):
+        self.estimator, self.label, self.parallelism, self.most = estimator, label, parallelism, most
         self.classes: list = []
         self.models: list = []
 
     def fit(self, df: DataFrame) -> OneVsOne:
-        self.classes = pivot_values(df, self.label, MAX_CLASSES)
+        self.classes = pivot_values(df, self.label, self.most)
 
         def one(pair):
             low, high = pair

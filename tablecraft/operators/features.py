@@ -34,6 +34,21 @@ def one_hot(df: DataFrame, columns: list[str], fitted_on: list[DataFrame] | None
     return out.drop(*columns)
 
 
+def one_hot_sparse(df: DataFrame, column: str, name: str = "onehot") -> tuple[DataFrame, DataFrame]:
+    """Any number of levels: the rows with a sparse vector, and the dictionary (level, position).
+
+    The vector, a struct (size, indices, values), has a one at the position of the row's level, in sorted order of the levels, and
+    none for a missing value. The dictionary stays a table.
+    """
+    levels = materialize(row_index(df.select(F.col(column).alias("level")).where("level is not null").distinct(), ["level"], "position"))
+    size = levels.count()
+
+    coded = join_back(df, levels.withColumnRenamed("level", column).withColumnRenamed("position", "_position"), [column])
+    at = F.filter(F.array(F.col("_position")), lambda p: p.isNotNull())
+    vector = F.struct(F.lit(size).alias("size"), at.alias("indices"), F.transform(at, lambda _: F.lit(1.0)).alias("values"))
+    return coded.withColumn(name, vector).drop("_position"), levels
+
+
 def label_encode(df: DataFrame, column: str, name: str) -> DataFrame:
     """Number the levels 0, 1, ... in sorted order; missing stays missing."""
     sizes = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(SIZE))
@@ -156,10 +171,10 @@ def boxcox_fit(df: DataFrame, columns: list[str], shift: float = 1.0) -> dict[st
     return best
 
 
-def poly_features(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFrame:
-    """1, every column, and every product of two columns."""
-    if 1 + len(columns) * (len(columns) + 3) // 2 > MAX_FEATURES:
-        raise ValueError(f"more than {MAX_FEATURES} polynomial features")
+def poly_features(df: DataFrame, columns: list[str], keep: list[str] = (), most: int = MAX_FEATURES) -> DataFrame:
+    """1, every column, and every product of two columns; refused if there are more than ``most`` of them."""
+    if 1 + len(columns) * (len(columns) + 3) // 2 > most:
+        raise ValueError(f"more than {most} polynomial features")
     terms = [F.lit(1.0).alias("bias"), *[F.col(c).cast("double").alias(c) for c in columns]]
     for i, a in enumerate(columns):
         terms += [(F.col(a).cast("double") * F.col(b).cast("double")).alias(f"{a}*{b}") for b in columns[i:]]

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablecraft.operators.dense import knn_dense
+from tablecraft.operators.dense import knn_partial
 from tablecraft.operators.select import columns_of
 from tablecraft.plans.lineage import materialize
 from tablecraft.plans.quantiles import percentiles
+from tablecraft.plans.reduce import FACTOR, along_a_tree, one_row
 
 ROUNDS = 10
-MAX_PATTERNS = 10_000
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -83,8 +86,9 @@ class IterativeImputer:
     table, applied to any other.
 
     Among rows with the same pattern of gaps, every filled value is a linear function
-    of the values that are there. So one pass that sums products per pattern (there
-    are few patterns) is enough to run all rounds on small matrices.
+    of the values that are there. So the rows are read once, to sum products per pattern; a step
+    then turns each pattern's sums into those of its filled rows, where the pattern is, and adds them up along a tree.
+    Patterns may be as many as there are rows: only (columns x columns) sums reach the driver. A column without any value stays empty.
     """
 
     def __init__(self, columns: list[str], rounds: int = ROUNDS, tolerance: float = 1e-10):
@@ -94,46 +98,40 @@ class IterativeImputer:
 
     def fit(self, df: DataFrame) -> IterativeImputer:
         width = len(self.columns)
+        self.means, self.steps = {}, []
         seen = [F.lit(1.0), *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in self.columns]]
-        pattern = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in self.columns]).alias("pattern")
+        gaps = F.array(*[F.col(c).isNull() for c in self.columns]).alias("gaps")
         pairs = [F.sum(seen[i] * seen[j]) for i in range(width + 1) for j in range(i, width + 1)]
-        found = df.groupBy(pattern).agg(F.array(*pairs).alias("sums")).limit(MAX_PATTERNS + 1).collect()
-        if len(found) > MAX_PATTERNS:
-            raise ValueError(f"more than {MAX_PATTERNS} patterns of missing values")
-
-        gaps, sums = [], []
-        for r in found:
-            gaps.append(np.array([mark == "1" for mark in r.pattern]))
-            square = np.zeros((width + 1, width + 1))
-            square[np.triu_indices(width + 1)] = r.sums
-            sums.append(square + np.triu(square, 1).T)
-        rows = [s[0, 0] for s in sums]
-        present = [sum(n for n, g in zip(rows, gaps) if not g[j]) for j in range(width)]
-        means = [sum(s[0, j + 1] for s, g in zip(sums, gaps) if not g[j]) / present[j] for j in range(width)]
-        self.means = dict(zip(self.columns, means))
-
-        # filled row = maps[p] @ (1, values that are there)
-        maps = []
-        for g in gaps:
-            m = np.eye(width + 1)
-            for j in np.flatnonzero(g):
-                m[j + 1] = 0.0
-                m[j + 1, 0] = means[j]
-            maps.append(m)
-        turn = sorted((j for j in range(width) if present[j] < sum(rows)), key=lambda j: (-present[j], self.columns[j]))
-        self.steps, last = [], None
-        for _ in range(self.rounds):
-            weights = []
+        patterns = materialize(df.groupBy(gaps).agg(F.array(*pairs).alias("sums")))
+        first = along_a_tree(_blocks(patterns, lambda g, s, _: np.stack([(~g * s[:, 0, :1]).sum(0), (~g * s[:, 0, 1:]).sum(0), np.full(width, s[:, 0, 0].sum())])),
+                             _numbers, np.add)
+        if first is None:
+            return self
+        present, sums, rows = first.reshape(3, width)
+        means = np.divide(sums, present, out=np.full(width, np.nan), where=present > 0)
+        self.means = {c: float(m) for c, m in zip(self.columns, means) if not np.isnan(m)}
+        fills = np.nan_to_num(means)
+
+        def start(g: np.ndarray, s: np.ndarray, _) -> np.ndarray:
+            """A filled row is its pattern's map times (1, the values that are there)."""
+            maps = np.tile(np.eye(width + 1), (len(g), 1, 1))
+            maps[:, 1:][g] = 0.0
+            maps[:, 1:, 0][g] = np.tile(fills, (len(g), 1))[g]
+            return maps
+
+        patterns = _mapped(patterns, start)
+        turn = sorted((j for j in range(width) if 0 < present[j] < rows[j]), key=lambda j: (-present[j], self.columns[j]))
+        last = None
+        for _ in range(self.rounds if turn else 0):
+            taken: list[tuple[int, np.ndarray]] = []
             for j in turn:
                 others = [0, *[i + 1 for i in range(width) if i != j]]
-                total = sum(m @ s @ m.T for m, s, g in zip(maps, sums, gaps) if not g[j])
+                total = along_a_tree(_blocks(patterns, _filled_sums(j, list(taken))), _numbers, np.add).reshape(width + 1, width + 1)
                 theta = np.linalg.lstsq(total[np.ix_(others, others)], total[others, j + 1], rcond=None)[0]
                 self.steps.append((self.columns[j], theta[1:], float(theta[0])))
-                weights.append(theta)
-                for m, g in zip(maps, gaps):
-                    if g[j]:
-                        m[j + 1] = theta @ m[others]
-            now = np.concatenate(weights) if weights else np.zeros(0)
+                taken.append((j, theta))
+            patterns = _mapped(patterns, lambda g, _, maps, taken=taken: _moved(g, maps, taken))
+            now = np.concatenate([theta for _, theta in taken])
             if last is not None and np.allclose(now, last, rtol=self.tolerance, atol=0):
                 break
             last = now
@@ -141,42 +139,90 @@ class IterativeImputer:
 
     def transform(self, df: DataFrame) -> DataFrame:
         rows = df.withColumns({f"_gap_{c}": F.col(c).isNull() for c in self.columns}).withColumns(
-            {c: F.coalesce(F.col(c).cast("double"), F.lit(float(self.means[c]))) for c in self.columns})
+            {c: F.coalesce(F.col(c).cast("double"), F.lit(self.means.get(c))) for c in self.columns})
         for column, weights, bias in self.steps:
             guess = F.lit(bias)
             for name, weight in zip((c for c in self.columns if c != column), weights):
-                guess = guess + F.col(name) * F.lit(float(weight))
+                guess = guess + F.coalesce(F.col(name), F.lit(0.0)) * F.lit(float(weight))
             rows = rows.withColumn(column, F.when(F.col(f"_gap_{column}"), guess).otherwise(F.col(column)))
         return rows.drop(*[f"_gap_{c}" for c in self.columns])
 
 
+def _unpack(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Of each pattern in a batch: the gaps, the matrix of its sums, and its map if it has one."""
+    gaps = np.array(batch.column(0).to_pylist(), dtype=bool)
+    size = gaps.shape[1] + 1
+    sums = np.zeros((len(gaps), size, size))
+    up = np.triu_indices(size)
+    sums[:, up[0], up[1]] = np.array(batch.column(1).to_pylist(), dtype=float)
+    sums[:, up[1], up[0]] = sums[:, up[0], up[1]]
+    maps = np.frombuffer(b"".join(batch.column(2).to_pylist())).reshape(-1, size, size) if batch.num_columns > 2 else None
+    return gaps, sums, maps
+
+
+def _blocks(patterns: DataFrame, measure) -> DataFrame:
+    """What ``measure`` makes of the patterns of a batch, as one array."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield one_row("at numbers", ["int64", "binary"], 0, np.ascontiguousarray(measure(*_unpack(batch))).tobytes())
+
+    return patterns.mapInArrow(run, FACTOR)
+
+
+def _mapped(patterns: DataFrame, change) -> DataFrame:
+    """The patterns with new maps, written once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                maps = change(*_unpack(batch))
+                yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([m.tobytes() for m in maps], "binary")], ["gaps", "sums", "maps"])
+
+    return materialize(patterns.mapInArrow(run, "gaps array<boolean>, sums array<double>, maps binary"))
+
+
+def _numbers(_: int, numbers: bytes) -> np.ndarray:
+    return np.frombuffer(numbers)
+
+
+def _moved(gaps: np.ndarray, maps: np.ndarray, taken: list[tuple[int, np.ndarray]]) -> np.ndarray:
+    """The maps after some steps: a gap's row is the regression of its column on the other rows."""
+    maps = maps.copy()
+    for j, theta in taken:
+        others = [i for i in range(maps.shape[1]) if i != j + 1]
+        at = np.flatnonzero(gaps[:, j])
+        maps[at, j + 1] = np.einsum("o,pon->pn", theta, maps[at][:, others])
+    return maps
+
+
+def _filled_sums(column: int, taken: list[tuple[int, np.ndarray]]):
+    """Sums of products of the filled rows that have the column."""
+    def measure(gaps: np.ndarray, sums: np.ndarray, maps: np.ndarray) -> np.ndarray:
+        at = ~gaps[:, column]
+        now = _moved(gaps[at], maps[at], taken)
+        return np.einsum("pab,pbc,pdc->ad", now, sums[at], now, optimize=True)
+
+    return measure
+
+
 def impute_knn(df: DataFrame, key: str, columns: list[str], k: int = 5) -> DataFrame:
     """Fill gaps with the mean over the k nearest complete rows.
 
-    Distance runs over the columns a row does have; rows are handled per pattern of
-    gaps, of which there are few. A row without any value keeps its gaps.
+    Distance runs over the columns a row does have; rows with any pattern of gaps share one search. A row without any
+    value keeps its gaps, and so do all if no row is complete. Columns with gaps come back as doubles.
     """
-    complete = materialize(df.dropna("any", subset=columns).select(key, *columns))
-    pattern = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
-    tagged = df.withColumn("_pattern", pattern)
-    found = [r[0] for r in tagged.select("_pattern").distinct().collect()]
-    out = tagged.filter(~F.col("_pattern").contains("1") | ~F.col("_pattern").contains("0")).drop("_pattern")
-    for marks in found:
-        have = [c for c, m in zip(columns, marks) if m == "0"]
-        lack = [c for c, m in zip(columns, marks) if m == "1"]
-        if not have or not lack:
-            continue
-        rows = tagged.filter(F.col("_pattern") == marks).drop("_pattern")
-        point = F.array(*[F.col(c).cast("double") for c in have])
-        near = knn_dense(rows.select(key, point.alias("_x")), complete.select(key, point.alias("_x")), key, "_x", k,
-                         metric="euclidean")
-        donors = complete.select(F.col(key).alias("neighbour"), *lack)
-        fills = near.join(donors, "neighbour").groupBy(F.col("id").alias("_row")).agg(
-            *[F.avg(c).alias(f"_f_{c}") for c in lack])
-        filled = rows.join(fills, rows[key] == fills["_row"], "left").withColumns(
-            {c: F.coalesce(F.col(c).cast("double"), F.col(f"_f_{c}")) for c in lack})
-        out = out.withColumns({c: F.col(c).cast("double") for c in lack}).unionByName(filled.select(*df.columns))
-    return out
+    counts = null_counts(df.select(*columns)).first().asDict()
+    gappy = [c for c in columns if counts[c]]
+    point = F.array(*[F.col(c).cast("double") for c in columns])
+    have = F.size(F.filter(point, lambda v: v.isNotNull()))
+    complete = materialize(df.where(have == len(columns)).select(key, *columns))
+    asked = df.where((have > 0) & (have < len(columns))).select(key, point.alias("_x"))
+    near = knn_partial(asked, complete.select(key, point.alias("_x")), key, "_x", k)
+    donors = complete.select(F.col(key).alias("neighbour"), *[F.col(c).alias(f"_f_{c}") for c in gappy])
+    fills = near.join(donors, "neighbour").groupBy(F.col("id").alias("_row")).agg(*[F.avg(f"_f_{c}").alias(f"_f_{c}") for c in gappy])
+    filled = df.join(fills, df[key] == fills["_row"], "left").withColumns(
+        {c: F.coalesce(F.col(c).cast("double"), F.col(f"_f_{c}")) for c in gappy})
+    return filled.select(*df.columns)
 
 
 def numeric_gaps(df: DataFrame) -> list[str]:

@@ -52,8 +52,8 @@ def argsort_rows(df: DataFrame, position: list, by: list) -> DataFrame:
     return row_index(row_index(df, position, "position"), [*by, "position"], "rank")
 
 
-def transpose_small(df: DataFrame, key: str) -> DataFrame:
-    """Rows become columns; refused for tables that are not small."""
-    if not is_small(df, TRANSPOSE_ROWS):
-        raise ValueError(f"more than {TRANSPOSE_ROWS} rows cannot become columns")
+def transpose_small(df: DataFrame, key: str, most: int = TRANSPOSE_ROWS) -> DataFrame:
+    """Rows become columns; refused for more than ``most`` rows, as each is a column of the plan."""
+    if not is_small(df, most):
+        raise ValueError(f"more than {most} rows cannot become columns")
     return df.transpose(F.col(key))

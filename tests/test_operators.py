@@ -188,6 +188,33 @@ def test_iterative_imputer_recovers_a_linear_relation(spark):
     assert np.abs(out.x.to_numpy() - pdf.x.to_numpy())[one_gap].max() < 1e-3
 
 
+def test_iterative_imputer_with_more_patterns_than_a_driver_should_hold(spark):
+    """14 columns with gaps: nearly every row has a pattern of its own. Against regressions on the filled table."""
+    draw = np.random.default_rng(6)
+    full = draw.normal(size=(700, 3)) @ draw.normal(size=(3, 14)) + draw.normal(0, 0.3, (700, 14))
+    gaps = draw.random((700, 14)) < np.linspace(0.1, 0.5, 14)
+    names = [f"c{j:02d}" for j in range(14)]
+    data = [(i, *[None if g else float(v) for v, g in zip(r, h)]) for i, (r, h) in enumerate(zip(full, gaps))]
+    df = spark.createDataFrame(data, "i long, " + ", ".join(f"{n} double" for n in names))
+    assert len({tuple(g) for g in gaps}) > 500
+    got = missing.IterativeImputer(names, rounds=2).fit(df).transform(df).orderBy("i").toPandas()[names].to_numpy()
+    now = np.where(gaps, np.nanmean(np.where(gaps, np.nan, full), axis=0), full)
+    for _ in range(2):
+        for j in sorted(range(14), key=lambda j: (gaps[:, j].sum(), names[j])):
+            x = np.c_[np.ones(700), np.delete(now, j, axis=1)]
+            theta = np.linalg.lstsq(x[~gaps[:, j]], full[~gaps[:, j], j], rcond=None)[0]
+            now[gaps[:, j], j] = x[gaps[:, j]] @ theta
+    assert np.allclose(got, now, atol=1e-6)
+
+
+def test_iterative_imputer_of_empty_tables_and_columns(spark):
+    none = spark.createDataFrame([], "a double, b double")
+    assert missing.IterativeImputer(["a", "b"]).fit(none).transform(none).count() == 0
+    lost = spark.createDataFrame([(1.0, None), (None, None), (3.0, None)], "a double, b double")
+    got = missing.IterativeImputer(["a", "b"]).fit(lost).transform(lost).collect()
+    assert [(r.a, r.b) for r in got] == [(1.0, None), (2.0, None), (3.0, None)]
+
+
 def test_knn_imputation_against_brute_force(spark):
     draw = np.random.default_rng(3)
     pdf = pd.DataFrame(draw.normal(size=(60, 3)), columns=list("abc"))
@@ -209,6 +236,39 @@ def test_knn_imputation_against_brute_force(spark):
         assert np.allclose(got[i], np.where(have, r, gappy[near].mean(axis=0)))
 
 
+def test_knn_imputation_with_many_patterns_and_cells(spark, monkeypatch):
+    from tablecraft.operators import dense
+    monkeypatch.setattr(dense.knn_partial, "__defaults__", (20,))
+    draw = np.random.default_rng(5)
+    full = np.round(draw.normal(size=(400, 5)) * [1, 10, 0.1, 3, 1], 1)
+    gappy = np.where((draw.random((400, 5)) < 0.3) & (np.arange(400) % 3 > 0)[:, None], np.nan, full)
+    data = [(i, *[None if np.isnan(v) else float(v) for v in r]) for i, r in enumerate(gappy)]
+    df = spark.createDataFrame(data, "id long, a double, b double, c double, d double, e double")
+    got = {r[0]: r[1:] for r in missing.impute_knn(df, "id", list("abcde"), 3).collect()}
+    donors = np.flatnonzero(~np.isnan(gappy).any(axis=1))
+    assert len({tuple(np.isnan(r)) for r in gappy}) > 20
+    for i, r in enumerate(gappy):
+        have = ~np.isnan(r)
+        if have.any() and not have.all():
+            near = sorted(donors, key=lambda d: (round(np.linalg.norm(gappy[d][have] - r[have]), 9), d))[:3]
+            assert np.allclose(got[i], np.where(have, r, gappy[near].mean(axis=0)))
+
+
+def test_knn_imputation_without_complete_rows(spark):
+    df = spark.createDataFrame([(1, 1.0, None), (2, None, 2.0)], "id long, a double, b double")
+    assert sorted(tuple(r) for r in missing.impute_knn(df, "id", ["a", "b"]).collect()) == [(1, 1.0, None), (2, None, 2.0)]
+
+
+def test_sparse_indicators_for_any_number_of_levels(spark):
+    df = spark.range(30_000).select("id", (F.col("id") % 12_345).cast("string").alias("s")).union(spark.createDataFrame([(-1, None)], "id long, s string"))
+    rows, levels = features.one_hot_sparse(df, "s")
+    order = sorted({str(i % 12_345) for i in range(30_000)})
+    assert [r.level for r in levels.orderBy("position").collect()] == order
+    got = {r.id: r.onehot for r in rows.where("id < 5 or id = 20000").collect()}
+    assert got[-1] == (12_345, [], [])
+    assert all(v == (12_345, [order.index(str(i % 12_345))], [1.0]) for i, v in got.items() if i >= 0)
+
+
 def test_rank_and_describe(spark):
     scores = spark.createDataFrame([("a", 3.0), ("b", 5.0), ("c", 5.0), ("d", 1.0)], "m string, s double")
     assert {r.m: r["rank"] for r in ordered.rank_results(scores, "s").collect()} == {"a": 3, "b": 1, "c": 1, "d": 4}
