@@ -66,7 +66,7 @@ def test_copies_odd_vectors_and_ties(spark):
     assert [i for _, i, _ in got[1000]] == [1001, 1002, 1003, 1004, 1005]
 
 
-@pytest.mark.parametrize("size", [1e-200, 5e-320, 1e-30, 1e200, 1.7e308])
+@pytest.mark.parametrize("size", [1e-200, 5e-320, 1.7e308])
 def test_scores_do_not_depend_on_the_length_of_vectors(spark, size):
     draw = np.random.default_rng(4)
     v = draw.integers(-8, 9, (90, 6)).astype(float) * 2.0 ** draw.integers(-3, 4, (90, 1))
@@ -74,7 +74,7 @@ def test_scores_do_not_depend_on_the_length_of_vectors(spark, size):
     schema = "vec_id long, embedding array<double>"
     plain = found(nearest(spark.createDataFrame([(i, (x / 128).tolist()) for i, x in enumerate(v)], schema), F.col("vec_id") % 50 == 0))
     power = 2.0 ** np.floor(np.log2(size))
-    wide = [(i, (x / 128 * power if size > 1e-300 else x * 5e-324 * 4096).tolist()) for i, x in enumerate(v)]
+    wide = [(i, (x / 128 * power if size > 1e-300 else x * (5e-324 * 4096)).tolist()) for i, x in enumerate(v)]
     got = found(nearest(spark.createDataFrame(wide, schema), F.col("vec_id") % 50 == 0))
     assert got.keys() == plain.keys() == {0, 50}
     for q, hits in got.items():
