@@ -93,25 +93,28 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _sketches(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """(id, row, text, digest, n, keys, bins): the set of each row as a 128-bit digest, its bands, and a byte of each bin."""
+    """(id, row, text, digest, n, keys, bins): the text compressed, its set as a 128-bit digest, its bands, and a byte of each bin."""
     narrow = docs.select(F.col(key).alias("id"), F.monotonically_increasing_id().alias("row"), octets(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh3_128_digest
+        from zstandard import ZstdCompressor
 
-        shingles, none = Shingles(words), np.empty(0, dtype=np.int64)
+        shingles, none, compress = Shingles(words), np.empty(0, dtype=np.int64), ZstdCompressor(level=3).compress
         for batch in batches:
-            digest, n, keys, bins = [], [], [], []
+            texts, digest, n, keys, bins = [], [], [], [], []
             for value in batch.column(2):
-                found = shingles.of(value.as_py())
+                value = value.as_py()
+                found = shingles.of(value)
+                texts.append(compress(value))
                 least = bins_of(found) if len(found) else None
                 digest.append(xxh3_128_digest(found.tobytes()))
                 n.append(len(found))
                 keys.append(none if least is None else bands_of(least))
                 bins.append(b"" if least is None else least.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(digest, "binary"), pa.array(n, "int64"), pa.array(keys, pa.list_(pa.int64())), pa.array(bins, "binary")],
+                [*batch.columns[:2], pa.array(texts, "binary"), pa.array(digest, "binary"), pa.array(n, "int64"), pa.array(keys, pa.list_(pa.int64())), pa.array(bins, "binary")],
                 ["id", "row", "text", "digest", "n", "keys", "bins"])
 
     return narrow.mapInArrow(sketch, f"id {kind}, row bigint, text binary, digest binary, n bigint, keys array<bigint>, bins binary")
@@ -146,12 +149,14 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) ->
         centres.join(texts, centres.a == texts.row).select("a", "copy", F.lit(-1).cast("long").alias("b"), "text"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, centre, cell = Shingles(words), None, None
+        from zstandard import ZstdDecompressor
+
+        shingles, centre, cell, whole = Shingles(words), None, None, ZstdDecompressor().decompress
         for batch in batches:
             a, copy, b = (batch.column(i).to_pylist() for i in range(3))
             linked = []
             for i, value in enumerate(batch.column(3)):
-                found = shingles.of(value.as_py())
+                found = shingles.of(whole(value.as_py()))
                 if b[i] < 0:
                     centre, cell = found, (a[i], copy[i])
                 elif cell == (a[i], copy[i]) and similar(centre, found, percent):
@@ -249,7 +254,9 @@ def _settled(families: DataFrame, classes: DataFrame, texts: DataFrame, words: i
     held = cells.join(texts, cells.member == texts.row).select("cell", "member", "known", "text")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, current, members, known, sets = Shingles(words), None, [], [], []
+        from zstandard import ZstdDecompressor
+
+        whole, shingles, current, members, known, sets = ZstdDecompressor().decompress, Shingles(words), None, [], [], []
         for batch in batches:
             found = []
             for cell, member, root, text in zip(*(batch.column(i) for i in range(3)), batch.column(3)):
@@ -258,7 +265,7 @@ def _settled(families: DataFrame, classes: DataFrame, texts: DataFrame, words: i
                     current, members, known, sets = cell.as_py(), [], [], []
                 members.append(member.as_py())
                 known.append(root.as_py())
-                sets.append(shingles.of(text.as_py()))
+                sets.append(shingles.of(whole(text.as_py())))
             yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], "int64") for i in (0, 1)], ["a", "b"])
         found = list(_linked(members, known, sets, percent))
         yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], "int64") for i in (0, 1)], ["a", "b"])
