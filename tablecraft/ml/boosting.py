@@ -181,14 +181,19 @@ class StagedBoost:
         """Add the prediction: a number, or for the logistic loss the class with at least even odds."""
         cuts, trees, start, depth, logistic = self.cuts, self.trees, self.start, self.depth, self.loss is LogisticLoss
 
-        @F.pandas_udf("double")
-        def predict(values: pd.Series) -> pd.Series:
-            raw = ensembles._matrix(values, len(cuts))
-            f = np.full(len(raw), start)
-            if cuts:
-                x = np.stack([np.searchsorted(c, raw[:, i]) for i, c in enumerate(cuts)], axis=1).astype(np.uint8)
-                for tree in trees:
-                    f += tree.value[0, tree.reached(x, depth)[:, 0], 0]
-            return pd.Series((f > 0).astype(float) if logistic else f)
+        def answers(x: np.ndarray) -> np.ndarray:
+            f = np.full(len(x), start)
+            for tree in trees if cuts else ():
+                f += tree.value[0, tree.reached(x, depth)[:, 0], 0]
+            return (f > 0).astype(float) if logistic else f
+
+        # rows of equal bins have one answer
+        many = ensembles._combinations(cuts)
+        known = answers(ensembles._of_codes(np.arange(many), cuts)) if cuts and many <= ensembles.ANSWERS else None
+
+        @F.arrow_udf("double")
+        def predict(values: pa.Array) -> pa.Array:
+            x = ensembles._cut(ensembles._matrix(values, len(cuts)), cuts)
+            return pa.array(answers(x) if known is None else known[ensembles._codes(x, cuts)])
 
         return df.withColumn(prediction, predict(as_array(features, df)))

@@ -3,6 +3,9 @@
 Columns are cut into bins once and the binned rows written once. A pass sends a model of bounded size (trees times nodes)
 to the rows, adds up a histogram for each (tree, node) inside the tasks, and finds the best split of a node where its
 partial histograms meet. Only splits reach the driver. Which rows a tree draws is a hash of row key and tree.
+
+Where the bins of all columns have few combinations, rows of equal bins are added up to cells first (unless trees draw rows by
+hash), and levels go over cells. A prediction is worked out once for a combination, not once for a row.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from tablecraft.plans.lineage import materialize
 BLOCK = 1 << 16
 #: Rows and trees that are walked at a time.
 WALKED = 1 << 20
+#: Numbers in the sums of all cells, and cells whose predictions are worked out beforehand, at most.
+CELLS, ANSWERS = 1 << 21, 1 << 16
 #: Borders are taken from that many quantiles, or are all values if these are few.
 QUANTILES = 1024
 
@@ -50,24 +55,101 @@ def borders(df: DataFrame, x: Column, bins: int) -> list[np.ndarray]:
     return out
 
 
-def _matrix(arrays: pd.Series, width: int) -> np.ndarray:
+def _matrix(arrays: pa.ListArray, width: int) -> np.ndarray:
     """Rows of features; a missing value is not a number, a missing row all of them."""
-    return np.array([np.full(width, np.nan) if a is None else np.asarray(a, dtype=float)[:width] for a in arrays]).reshape(len(arrays), width)
+    lengths = np.diff(arrays.offsets.to_numpy())
+    if not arrays.null_count and (lengths == lengths[:1]).all() and lengths[:1].sum() >= width:
+        return arrays.flatten().to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(len(arrays), -1)[:, :width]
+    rows = (np.full(width, np.nan) if a is None else np.array(a, dtype=float)[:width] for a in arrays.to_pylist())
+    return np.array(list(rows)).reshape(len(arrays), width)
+
+
+def _cut(rows: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    """(rows, features) bins as bytes."""
+    out = np.empty(rows.shape, dtype=np.uint8)
+    for i, c in enumerate(cuts):
+        out[:, i] = np.searchsorted(c, rows[:, i])
+    return out
+
+
+def _as_binary(bins: np.ndarray) -> pa.Array:
+    rows, width = bins.shape
+    offsets = np.arange(rows + 1, dtype=np.int32) * width
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(bins))])
 
 
 def binned(df: DataFrame, x: Column, cuts: list[np.ndarray], *keep: Column) -> DataFrame:
     """The kept columns and ``x``, a byte for each feature: its bin. Missing values are in the last bin, beyond all borders."""
-    @F.pandas_udf("binary")
-    def cut(values: pd.Series) -> pd.Series:
-        rows = _matrix(values, len(cuts))
-        bins = np.stack([np.searchsorted(c, rows[:, i]) for i, c in enumerate(cuts)], axis=1).astype(np.uint8)
-        return pd.Series([r.tobytes() for r in bins])
+    @F.arrow_udf("binary")
+    def cut(values: pa.Array) -> pa.Array:
+        return _as_binary(_cut(_matrix(values, len(cuts)), cuts))
 
     rows = df.select(*keep, cut(x).alias("x"))
     cores = df.sparkSession.sparkContext.defaultParallelism
     return materialize(rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores))
 
 
+def _codes(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    """Number of each row's combination of bins."""
+    code = np.zeros(len(x), dtype=np.int64)
+    for i, c in enumerate(cuts):
+        code = code * (len(c) + 1) + x[:, i]
+    return code
+
+
+def _of_codes(codes: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    """The bins of combinations."""
+    x = np.empty((len(codes), len(cuts)), dtype=np.uint8)
+    for i in range(len(cuts) - 1, -1, -1):
+        codes, x[:, i] = np.divmod(codes, len(cuts[i]) + 1)
+    return x
+
+
+def _combinations(cuts: list[np.ndarray]) -> int:
+    return math.prod(len(c) + 1 for c in cuts)
+
+
+def cells(rows: DataFrame, cuts: list[np.ndarray], classes: int, wide: int) -> DataFrame:
+    """(h, y, x, numbers): rows (y, v[, w]) of equal bins of ``v``, and class if there are ``classes``, added up: the weights of ``wide`` trees
+    (one stands for all), without classes also weight times y. Sums are added inside tasks, then where the slices of the tasks meet."""
+    many, size = max(1, classes), 1 << 12
+    total = _combinations(cuts) * many
+    channels = 1 if classes else 2
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((total, channels, wide))
+        for table in _blocks(batches):
+            y = table.column("y").to_numpy()
+            x = _cut(_matrix(table.column("v").combine_chunks(), len(cuts)), cuts)
+            code = _codes(x, cuts) * many + (y.astype(np.int64) if classes else 0)
+            given = [None] if wide == 1 else _lists(table.column("w"), wide).T
+            for tree, w in enumerate(given):
+                sums[:, 0, tree] += np.bincount(code, w, total)
+                if not classes:
+                    sums[:, 1, tree] += np.bincount(code, y if w is None else w * y, total)
+        for start in range(0, total, size):
+            part = sums[start:start + size]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([start], "int64"), pa.array([part.tobytes()], "binary")], ["start", "sums"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for start, numbers in zip(batch.column(0).to_pylist(), batch.column(1)):
+                part = np.frombuffer(numbers.as_py())
+                sums[start] = sums[start] + part if start in sums else part
+        for start, part in sums.items():
+            part = part.reshape(-1, channels, wide)
+            filled = np.flatnonzero((part[:, 0] > 0).any(axis=1))
+            codes = start + filled
+            numbers = [part[i].tobytes() for i in filled]
+            yield pa.RecordBatch.from_arrays([pa.array(codes, "int64"), pa.array((codes % many).astype(float)), _as_binary(_of_codes(codes // many, cuts)),
+                                              pa.array(numbers, "binary")], ["h", "y", "x", "numbers"])
+
+    parts = rows.mapInArrow(add_up, "start bigint, sums binary")
+    return materialize(parts.repartition("start").mapInArrow(meet, "h bigint, y double, x binary, numbers binary"))
+
+
 def drawn(keys: np.ndarray, trees: np.ndarray, replace: bool, share: float) -> np.ndarray:
     """(rows, trees) times that a tree has a row: a Poisson number of mean one, or one with the given share."""
     mixed = keys.view(np.uint64)[:, None] + (trees.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
@@ -265,6 +347,12 @@ def _bytes(column: pa.ChunkedArray, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, width)
 
 
+def _lists(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    """(rows, width) numbers of a column of lists."""
+    flat = column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()
+    return flat.to_numpy(zero_copy_only=False).astype(float, copy=False).reshape(len(column), -1)[:, :width]
+
+
 class Forest:
     """Many trees, each on rows of its own (with replacement or a share of them) and, if wanted, columns of its own.
 
@@ -289,13 +377,17 @@ class Forest:
         """What gives the weights of rows (hashes, given weights) for trees start to end; it travels to the tasks."""
         fixed, replace, share = self.weights is not None, self.replace, self.share
 
-        def weights(h: np.ndarray, w: list, start: int, end: int) -> np.ndarray:
+        def weights(h: np.ndarray, w: np.ndarray | None, start: int, end: int) -> np.ndarray:
             if fixed:
-                return np.array([row[start:end] for row in w], dtype=float).reshape(len(h), end - start)
+                return w[:, start:end]
             return drawn(h, np.arange(start, end), replace, share)
 
         return weights
 
+    def _all_rows(self) -> bool:
+        """Whether every tree has every row once."""
+        return self.weights is None and not self.replace and self.share >= 1
+
     def drawn_columns(self, width: int) -> np.ndarray:
         """(trees, columns) ascending columns of each tree."""
         draw, chosen = np.random.default_rng(self.seed), min(self.columns or width, width)
@@ -306,23 +398,35 @@ class Forest:
         x, y = as_array(features, df), F.col(label).cast("double").alias("y")
         self.cuts = borders(known, x, self.bins)
         width = len(self.cuts)
-        rows = binned(known, x, self.cuts, *self._given(), y)
         self.of = self.drawn_columns(width)
         if self.classes:
-            many = int((rows.agg(F.max("y")).first()[0] or 0) + 1)
+            many = int((known.agg(F.max(F.col(label).cast("double"))).first()[0] or 0) + 1)
             kind = (Entropy if self.criterion == "entropy" else Gini)(many)
         else:
-            kind = Variance()
+            many, kind = 0, Variance()
+        wide = 1 if self._all_rows() else self.trees if self.weights is not None else 0
+        small = 0 < wide * _combinations(self.cuts) * max(2, many) <= CELLS
+        if small:
+            given = [self.weights.cast("array<double>").alias("w")] if wide > 1 else []
+            rows = cells(known.select(y, x.alias("v"), *given), self.cuts, many, wide)
+        else:
+            rows = binned(known, x, self.cuts, *self._given(), y)
         self.nodes = nodes = Nodes.empty(self.trees, self.depth, kind.channels)
-        of, bins, classes, drawing = self.of, self.bins, self.classes, self._weights()
+        of, bins, classes, drawing, trees, fixed = self.of, self.bins, self.classes, self._weights(), self.trees, self.weights is not None
 
         for level in range(self.depth if width else 0):
             def partial(batches: Iterator[pa.RecordBatch], level=level, now=nodes) -> Iterator[pa.RecordBatch]:
                 for table in _blocks(batches):
                     h, y = table.column("h").to_numpy(), table.column("y").to_numpy()
-                    w = table.column("w").to_pylist()
+                    if small:
+                        sums = np.frombuffer(b"".join(table.column("numbers").to_pylist())).reshape(len(y), -1, wide)
+                    else:
+                        w = _lists(table.column("w"), trees) if fixed else None
 
                     def weights(start: int, end: int):
+                        if small:
+                            of_tree = [np.broadcast_to(s, (len(y), end - start)) if wide == 1 else s[:, start:end] for s in sums.transpose(1, 0, 2)]
+                            return (of_tree[0], y.astype(int)) if classes else (of_tree, None)
                         times = drawing(h, w, start, end)
                         return (times, y.astype(int)) if classes else ((times, times * y[:, None]), None)
 
@@ -344,28 +448,46 @@ class Forest:
         many, width, trees = nodes.value.shape[2], len(cuts), self.trees
         depth = self.depth if width else 0
         step = max(1, WALKED // max(1, trees))
-
-        @F.pandas_udf("double")
-        def predict(values: pd.Series, h: pd.Series, w: pd.Series) -> pd.Series:
-            out = []
-            for start in range(0, len(values), step):
-                raw = _matrix(values.iloc[start:start + step], width)
-                x = np.stack([np.searchsorted(c, raw[:, i]) for i, c in enumerate(cuts)], axis=1).astype(np.uint8) if width else raw
-                node = nodes.reached(x, depth)
-                at = np.arange(trees)[None, :]
-                said, asked = leaf[at, node], grown[at, node]
-                if unseen_only:
-                    asked &= drawing(h.to_numpy()[start:start + step], list(w.iloc[start:start + step]), 0, trees) == 0
-                if classes:
-                    votes = np.stack([((said == k) & asked).sum(axis=1) for k in range(many)], axis=1)
-                    out.append(np.where(votes.any(axis=1), votes.argmax(axis=1), np.nan))
-                else:
-                    count = asked.sum(axis=1)
-                    out.append(np.divide(np.where(asked, said, 0).sum(axis=1), count, out=np.full(len(raw), np.nan), where=count > 0))
-            flat = np.concatenate(out) if out else np.empty(0)
-            return pd.Series(flat).astype(object).where(~np.isnan(flat), None)
-
-        return df.withColumn(prediction, predict(as_array(features, df), *self._given()))
+        fixed = self.weights is not None
+
+        def answers(x: np.ndarray, unseen: np.ndarray | None = None) -> np.ndarray:
+            node = nodes.reached(x, depth)
+            at = np.arange(trees)[None, :]
+            said, asked = leaf[at, node], grown[at, node]
+            if unseen is not None:
+                asked = asked & unseen
+            if classes:
+                votes = np.stack([((said == k) & asked).sum(axis=1) for k in range(many)], axis=1)
+                return np.where(votes.any(axis=1), votes.argmax(axis=1), np.nan)
+            count = asked.sum(axis=1)
+            return np.divide(np.where(asked, said, 0).sum(axis=1), count, out=np.full(len(x), np.nan), where=count > 0)
+
+        def in_steps(x: np.ndarray, unseen=lambda start, end: None) -> np.ndarray:
+            parts = [answers(x[start:start + step], unseen(start, start + step)) for start in range(0, len(x), step)]
+            return np.concatenate(parts) if parts else np.empty(0)
+
+        known = None
+        if width and not unseen_only and _combinations(cuts) <= ANSWERS:
+            known = in_steps(_of_codes(np.arange(_combinations(cuts)), cuts))
+
+        def bins_of(values: pa.Array) -> np.ndarray:
+            return _cut(_matrix(values, width), cuts)
+
+        def numbers(found: np.ndarray) -> pa.Array:
+            return pa.array(found, mask=np.isnan(found))
+
+        @F.arrow_udf("double")
+        def predict(values: pa.Array) -> pa.Array:
+            x = bins_of(values)
+            return numbers(in_steps(x) if known is None else known[_codes(x, cuts)])
+
+        @F.arrow_udf("double")
+        def predict_unseen(values: pa.Array, h: pa.Array, w: pa.Array) -> pa.Array:
+            keys, given = h.to_numpy(), _lists(w, trees) if fixed else None
+            return numbers(in_steps(bins_of(values), lambda a, b: drawing(keys[a:b], given if given is None else given[a:b], 0, trees) == 0))
+
+        features = as_array(features, df)
+        return df.withColumn(prediction, predict_unseen(features, *self._given()) if unseen_only else predict(features))
 
     def oob_score(self, df: DataFrame, features: str = "features", label: str = "label") -> DataFrame:
         """Share of right votes (or mean squared error) of the trees that did not have a row, and how many rows have such trees."""

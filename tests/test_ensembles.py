@@ -115,3 +115,26 @@ def test_missing_values_labels_and_tables(spark):
     none = spark.createDataFrame([], schema)
     assert Forest("id", 5).fit(none).transform(none).count() == 0
     assert Forest("id", 5).fit(none).transform(spark.createDataFrame(given[:1], schema)).first().prediction is None
+
+
+@pytest.mark.parametrize("classes, weighted", [(False, False), (True, True), (False, True)])
+def test_cells_of_equal_bins_grow_the_same_trees(spark, monkeypatch, classes, weighted):
+    draw = np.random.default_rng(3)
+    x = draw.integers(0, 5, size=(3000, 3)).astype(float)
+    y = (x[:, 0] + x[:, 1] > 4).astype(float) if classes else x[:, 0] * x[:, 1] + draw.normal(size=3000)
+    rows = [(i, [None if i % 50 == 0 else float(v[0]), float(v[1]), float(v[2])], float(l)) for i, (v, l) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "id long, features array<double>, label double")
+    given = F.array(*[F.col("id") % b % 3 for b in (5, 7, 11, 13)]) if weighted else None
+    made, cells = [], ensembles.cells
+    monkeypatch.setattr(ensembles, "cells", lambda *a: made.append(cells(*a)) or made[-1])
+
+    def grown():
+        model = ensembles.Forest("id", 4, depth=3, classes=classes, columns=2, replace=False, share=1.0, weights=given).fit(df)
+        return model.nodes, [r.prediction for r in model.transform(df).orderBy("id").collect()]
+
+    nodes, said = grown()
+    assert len(made) == 1 and made[0].count() <= 6 * 5 * 5 * 2  # levels go over the cells, not over 3,000 rows
+    monkeypatch.setattr(ensembles, "CELLS", 0)
+    monkeypatch.setattr(ensembles, "ANSWERS", 0)
+    plain, want = grown()
+    assert len(made) == 1 and (nodes.feature == plain.feature).all() and (nodes.bin == plain.bin).all() and said == pytest.approx(want)
