@@ -5,9 +5,11 @@ Missing group keys are dropped unless asked for; a sum over nothing is zero.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from tablecraft.plans.lineage import materialize
 from tablecraft.plans.quantiles import percentiles
 
 PANDAS_GROUP_ROWS = 1_000_000
+#: Key types whose values are equal exactly where Spark groups them.
+PLAIN_KEYS = ("byte", "short", "integer", "long", "string", "date", "boolean")
 
 
 def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -72,7 +76,49 @@ def group_apply(df: DataFrame, keys: list[str], function: Callable, schema: str,
     biggest = largest_group(rows, keys)
     if biggest > limit:
         raise ValueError(f"largest group has {biggest} rows, more than {limit}; use group_transform")
-    return rows.groupBy(*keys).applyInPandas(function, schema)
+    if any(rows.schema[k].dataType.typeName() not in PLAIN_KEYS for k in keys) or getattr(getattr(function, "__code__", None), "co_argcount", 0) != 1:
+        return rows.groupBy(*keys).applyInPandas(function, schema)
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_by_group(keys, function), schema)
+
+
+def _by_group(keys: list[str], function: Callable) -> Callable:
+    """The function on each group of rows that come sorted by keys: many small groups travel in one batch, and so do their results."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def results(rows: pd.DataFrame, cuts: np.ndarray) -> Iterator[pd.DataFrame]:
+            found = [function(rows.iloc[a:b].reset_index(drop=True)) for a, b in zip(cuts[:-1], cuts[1:])]
+            found = [f for f in found if len(f)]
+            if all(f.dtypes.equals(found[0].dtypes) for f in found[1:]):
+                found = [pd.concat(found, ignore_index=True)] if found else []
+            yield from found  # results of other types stay apart, so that no number is widened
+
+        def key(rows: pd.DataFrame, at: int) -> tuple:
+            return tuple(rows[k].iloc[at] for k in keys)
+
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            if not len(batch):
+                continue
+            changed = np.zeros(len(batch) - 1, dtype=bool)
+            for k in keys:
+                values = batch[k].to_numpy()
+                changed |= values[1:] != values[:-1]
+            cuts = np.r_[0, np.flatnonzero(changed) + 1, len(batch)]
+            if held and key(held[0], 0) == key(batch, 0):  # the group that was open goes on
+                if len(cuts) == 2:
+                    held.append(batch)
+                    continue
+                held.append(batch.iloc[:cuts[1]])
+                cuts = cuts[1:]
+            if held:
+                whole = pd.concat(held, ignore_index=True)
+                yield from results(whole, np.array([0, len(whole)]))
+            yield from results(batch, cuts[:-1])
+            held = [batch.iloc[cuts[-2]:]]
+        if held:
+            whole = pd.concat(held, ignore_index=True)
+            yield from results(whole, np.array([0, len(whole)]))
+
+    return run
 
 
 def group_by_mapping(df: DataFrame, key: str, mapping: dict, name: str, *aggregates: Column) -> DataFrame:

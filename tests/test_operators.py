@@ -334,3 +334,25 @@ def test_pca_first_axis_follows_the_spread(spark):
     df = spark.createDataFrame([(i, float(a), float(2 * a + 0.01 * np.sin(i))) for i, a in enumerate(draw)], "i int, a double, b double")
     got = features.pca_project(df, ["a", "b"], 2, ["i"]).agg(F.var_pop("pc1"), F.var_pop("pc2")).first()
     assert got[0] == pytest.approx(2.0, abs=1e-3) and got[1] < 1e-3
+
+
+def test_small_groups_share_batches_and_groups_may_span_them(spark):
+    """Groups of one to many rows, batches of three rows: every group is seen whole and once, in far fewer calls of Arrow than groups."""
+    import pandas as pd
+
+    data = [(k, f"s{k % 2}", i) for k in range(40) for i in range(1 + k % 9)]
+    df = spark.createDataFrame([*data, (None, "s0", 5)], "k long, s string, v long")
+
+    def stats(group: pd.DataFrame) -> pd.DataFrame:
+        assert list(group.index) == list(range(len(group)))
+        return pd.DataFrame({"s": group["s"].iloc[:1], "k": group["k"].iloc[:1], "n": [len(group)], "total": [group["v"].sum()]})
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        out = aggregate.group_apply(df, ["k", "s"], stats, "k long, s string, n long, total long")
+        assert "MapInPandas" in out._jdf.queryExecution().toString()
+        got = sorted(tuple(r) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == [(k, f"s{k % 2}", 1 + k % 9, sum(range(1 + k % 9))) for k in range(40)]
