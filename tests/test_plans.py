@@ -85,6 +85,20 @@ def test_percentiles_of_groups_that_are_narrowed_down(spark, monkeypatch, keys):
         assert np.allclose(list(r)[len(keys):], np.quantile(want[r.k if keys else "all"], list(shares.values())))
 
 
+def test_rows_of_large_groups_are_counted_where_they_are(spark, monkeypatch, hot):
+    """What is known of a large group comes to its rows by broadcast: no join sorts a whole group in one task."""
+    monkeypatch.setattr(quantiles, "LARGE", 50)
+    plans, written = [], quantiles.materialize
+    monkeypatch.setattr(quantiles, "materialize", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or written(df))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert len(quantiles.percentiles(hot, ["k"], "v", {"a": 0.5}).collect()) == len({r.k for r in hot.collect()})
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert any("BroadcastHashJoin" in p for p in plans) and not any("SortMergeJoin" in p for p in plans)
+
+
 def test_group_stats_stay_whole(hot):
     got = groups.with_group_stats(hot, ["k"], [F.avg("v").alias("m")]).collect()
     data = {}
