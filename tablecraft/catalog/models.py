@@ -6,7 +6,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import PolynomialExpansion, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from tablecraft.catalog.registry import query
@@ -16,6 +16,10 @@ c = F.col
 
 X = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
 FOREST = {"numTrees": 100, "maxDepth": 5, "seed": 18}
+#: The same forest over rows of few different features, whose trees are grown together: every node may be split by two of the four columns.
+LINE_FOREST = {"trees": 100, "depth": 5, "classes": False, "node_columns": 2, "seed": 18}
+#: Columns that tell lines apart.
+LINE = ["l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "label"]
 #: Trees of the ensembles that are grown together.
 TREES = 500
 
@@ -266,7 +270,7 @@ def fit_forest_cls(t):
 @query()
 def fit_forest_reg(t):
     rows = lines(t)
-    return predicted(RandomForestRegressor(**FOREST).fit(rows), rows, "l_orderkey", "l_linenumber")
+    return predicted(ensembles.Forest(LINE, **LINE_FOREST).fit(rows), rows, "l_orderkey", "l_linenumber")
 
 
 @query()
@@ -514,8 +518,8 @@ def predict_table(t):
 @query()
 def importance_table(t):
     rows = lines(t)
-    model = RandomForestRegressor(**FOREST).fit(rows)
-    return tune.importance_table(rows, X, model.featureImportances.toArray())
+    model = ensembles.Forest(LINE, **LINE_FOREST).fit(rows)
+    return tune.importance_table(rows, X, model.importances())
 
 
 @query("WITH d AS (SELECT *, l_extendedprice / 1000 AS y FROM lineitem), r AS (" + " UNION ALL ".join(

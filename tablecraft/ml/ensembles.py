@@ -4,8 +4,8 @@ Columns are cut into bins once and the binned rows written once. A pass sends a
 to the rows, adds up a histogram for each (tree, node) inside the tasks, and finds the best split of a node where its
 partial histograms meet. Only splits reach the driver. Which rows a tree draws is a hash of row key and tree.
 
-Where the bins of all columns have few combinations, rows of equal bins are added up to cells first (unless trees draw rows by
-hash), and levels go over cells. A prediction is worked out once for a combination, not once for a row.
+Where the bins of all columns have few combinations, rows of equal bins are added up to cells first, with the weights that each
+tree drew for them, and levels go over cells. A prediction is worked out once for a combination, not once for a row.
 """
 
 from __future__ import annotations
@@ -28,7 +28,9 @@ BLOCK = 1 << 16
 #: Rows and trees that are walked at a time.
 WALKED = 1 << 20
 #: Numbers in the sums of all cells, and cells whose predictions are worked out beforehand, at most.
-CELLS, ANSWERS = 1 << 21, 1 << 16
+CELLS, ANSWERS = 1 << 23, 1 << 16
+#: Trees whose rows are drawn at a time, and bytes of cells that travel as one.
+DRAWN, SLICE = 8, 1 << 18
 #: Borders are taken from that many quantiles, or are all values if these are few.
 QUANTILES = 1024
 
@@ -109,26 +111,33 @@ def _combinations(cuts: list[np.ndarray]) -> int:
     return math.prod(len(c) + 1 for c in cuts)
 
 
-def cells(rows: DataFrame, cuts: list[np.ndarray], classes: int, wide: int) -> DataFrame:
-    """(h, y, x, numbers): rows (y, v[, w]) of equal bins of ``v``, and class if there are ``classes``, added up: the weights of ``wide`` trees
-    (one stands for all), without classes also weight times y. Sums are added inside tasks, then where the slices of the tasks meet."""
-    many, size = max(1, classes), 1 << 12
-    total = _combinations(cuts) * many
-    channels = 1 if classes else 2
+def cells(rows: DataFrame, cuts: list[np.ndarray], classes: int, wide: int, drawing=None) -> DataFrame:
+    """(h, y, x, numbers): rows (y, v[, w or h]) of equal bins of ``v``, and class if there are ``classes``, added up: the weights of ``wide`` trees
+    (one stands for all), without classes also weight times y. ``drawing`` gives the weights of rows with hash h, some trees at a time.
+    Sums are added inside tasks, then where the slices of the tasks meet."""
+    many, channels = max(1, classes), 1 if classes else 2
+    total, size = _combinations(cuts) * many, max(1, min(1 << 12, SLICE // (8 * channels * wide)))
+
+    def weights(table: pa.Table) -> Iterator[np.ndarray | None]:
+        if drawing is None:
+            yield from _lists(table.column("w"), wide).T if "w" in table.column_names else [None]
+            return
+        h = table.column("h").to_numpy()
+        for start in range(0, wide, DRAWN):
+            yield from np.ascontiguousarray(drawing(h, None, start, min(start + DRAWN, wide)).T)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((total, channels, wide))
+        sums = np.zeros((wide, channels, total))
         for table in _blocks(batches):
             y = table.column("y").to_numpy()
             x = _cut(_matrix(table.column("v").combine_chunks(), len(cuts)), cuts)
             code = _codes(x, cuts) * many + (y.astype(np.int64) if classes else 0)
-            given = [None] if wide == 1 else _lists(table.column("w"), wide).T
-            for tree, w in enumerate(given):
-                sums[:, 0, tree] += np.bincount(code, w, total)
+            for tree, w in enumerate(weights(table)):
+                sums[tree, 0] += np.bincount(code, w, total)
                 if not classes:
-                    sums[:, 1, tree] += np.bincount(code, y if w is None else w * y, total)
+                    sums[tree, 1] += np.bincount(code, y if w is None else w * y, total)
         for start in range(0, total, size):
-            part = sums[start:start + size]
+            part = np.ascontiguousarray(sums[:, :, start:start + size].transpose(2, 1, 0))
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([start], "int64"), pa.array([part.tobytes()], "binary")], ["start", "sums"])
 
@@ -288,8 +297,10 @@ def _histograms(x: np.ndarray, nodes: Nodes, level: int, of: np.ndarray, bins: i
                     yield first + start + t, begin + node, _packed(part)
 
 
-def _splits(parts: DataFrame, of: np.ndarray, bins: int, kind, least: float) -> pd.DataFrame:
-    """One row for each (tree, node) that has rows: its sums, and feature, bin and sums of both children if it is split."""
+def _splits(parts: DataFrame, of: np.ndarray, bins: int, kind, least: float, node_draw=None) -> pd.DataFrame:
+    """One row for each (tree, node) that has rows: its sums, and feature, bin and sums of both children if it is split.
+
+    ``node_draw(tree, node, width)`` gives the places of the columns that may split a node, if not all may."""
     width, channels = of.shape[1], kind.channels
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,13 +308,14 @@ def _splits(parts: DataFrame, of: np.ndarray, bins: int, kind, least: float) ->
 
         def close() -> None:
             table = total.reshape(width, bins, channels)
-            found = best_split(table, kind, least)
+            places = node_draw(*current, width) if node_draw else np.arange(width)
+            found = best_split(table[places], kind, least)
             node = table[0].sum(axis=0)
             if found is None:
                 out.append((*current, -1, 0, node.tolist(), [], []))
             else:
                 place, cut, _, left, right = found
-                out.append((*current, int(of[current[0], place]), cut, node.tolist(), left.tolist(), right.tolist()))
+                out.append((*current, int(of[current[0], places[place]]), cut, node.tolist(), left.tolist(), right.tolist()))
 
         for batch in batches:
             for tree, node, packed in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3))):
@@ -356,13 +368,16 @@ def _lists(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
 class Forest:
     """Many trees, each on rows of its own (with replacement or a share of them) and, if wanted, columns of its own.
 
-    ``columns`` columns are drawn for each tree, all if it is missing. ``weights`` (an array column with a weight for each tree) replaces the
+    ``columns`` columns are drawn for each tree, all if it is missing, and ``node_columns`` of these again for each node. A row is known by its
+    ``key``, one column or several. ``weights`` (an array column with a weight for each tree) replaces the
     drawing. Rows without a label are not learned from. Missing values are larger than all others. ``classes`` labels are 0, 1, 2 ...; without
     it labels are numbers. Trees vote with their leaf's most frequent class (the smaller one on ties) or average their leaves' means.
     """
 
-    def __init__(self, key: str, trees: int = 500, depth: int = 5, classes: bool = True, replace: bool = True, share: float = 0.5,
-                 columns: int | None = None, bins: int = 32, criterion: str = "gini", least: float = 1.0, weights: Column | None = None, seed: int = 0):
+    def __init__(self, key: str | list[str], trees: int = 500, depth: int = 5, classes: bool = True, replace: bool = True, share: float = 0.5,
+                 columns: int | None = None, bins: int = 32, criterion: str = "gini", least: float = 1.0, weights: Column | None = None, seed: int = 0,
+                 node_columns: int | None = None):
+        self.node_columns, self.kind = node_columns, Variance()
         self.key, self.trees, self.depth, self.classes, self.replace, self.share = key, trees, depth, classes, replace, share
         self.columns, self.bins, self.criterion, self.least, self.weights, self.seed = columns, bins, criterion, least, weights, seed
         self.cuts: list[np.ndarray] = []
@@ -371,7 +386,10 @@ class Forest:
 
     def _given(self) -> list[Column]:
         given = F.lit(None).cast("array<double>") if self.weights is None else self.weights.cast("array<double>")
-        return [F.xxhash64(self.key, F.lit(self.seed)).alias("h"), given.alias("w")]
+        return [self._hash(), given.alias("w")]
+
+    def _hash(self) -> Column:
+        return F.xxhash64(*([self.key] if isinstance(self.key, str) else self.key), F.lit(self.seed)).alias("h")
 
     def _weights(self):
         """What gives the weights of rows (hashes, given weights) for trees start to end; it travels to the tasks."""
@@ -393,6 +411,22 @@ class Forest:
         draw, chosen = np.random.default_rng(self.seed), min(self.columns or width, width)
         return np.array([np.sort(draw.permutation(width)[:chosen]) for _ in range(self.trees)], dtype=np.int64).reshape(self.trees, chosen)
 
+    def _node_draw(self):
+        """What gives the places of the columns that a node may be split by, or nothing if all may."""
+        some, seed = self.node_columns, self.seed
+        return some and (lambda tree, node, width: np.sort(np.random.default_rng((seed, tree, node)).permutation(width)[:some]))
+
+    def importances(self) -> np.ndarray:
+        """What splits by each column gain, as shares of each tree's gain, averaged over the trees that have a split."""
+        nodes, kind = self.nodes, self.kind
+        total = np.zeros(len(self.cuts))
+        for feature, value in zip(nodes.feature, nodes.value):
+            at = np.flatnonzero(feature >= 0)
+            gain = kind.score(value[2 * at + 1]) + kind.score(value[2 * at + 2]) - kind.score(value[at])
+            if gain.sum() > 0:
+                total += np.bincount(feature[at], gain, len(total)) / gain.sum()
+        return total / total.sum() if total.any() else total
+
     def fit(self, df: DataFrame, features: str = "features", label: str = "label") -> Forest:
         known = df.where(F.col(label).isNotNull())
         x, y = as_array(features, df), F.col(label).cast("double").alias("y")
@@ -404,11 +438,14 @@ class Forest:
             kind = (Entropy if self.criterion == "entropy" else Gini)(many)
         else:
             many, kind = 0, Variance()
-        wide = 1 if self._all_rows() else self.trees if self.weights is not None else 0
+        self.kind = kind
+        wide = 1 if self._all_rows() else self.trees
         small = 0 < wide * _combinations(self.cuts) * max(2, many) <= CELLS
         if small:
-            given = [self.weights.cast("array<double>").alias("w")] if wide > 1 else []
-            rows = cells(known.select(y, x.alias("v"), *given), self.cuts, many, wide)
+            by_hash = self.weights is None and not self._all_rows()
+            given = [self._hash()] if by_hash else [] if self.weights is None else [self.weights.cast("array<double>").alias("w")]
+            more = [self._weights()] if by_hash else []
+            rows = cells(known.select(y, x.alias("v"), *given), self.cuts, many, wide, *more)
         else:
             rows = binned(known, x, self.cuts, *self._given(), y)
         self.nodes = nodes = Nodes.empty(self.trees, self.depth, kind.channels)
@@ -434,7 +471,7 @@ class Forest:
                     yield from _as_batches(found, int(h[0]))
 
             parts = rows.mapInArrow(partial, PARTS)
-            splits = _splits(parts, of, bins, kind, self.least)
+            splits = _splits(parts, of, bins, kind, self.least, self._node_draw())
             _enter(nodes, splits)
             if not (splits["feature"] >= 0).any():
                 break

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
 from tablecraft.ml import ensembles
@@ -138,3 +139,34 @@ def test_cells_of_equal_bins_grow_the_same_trees(spark, monkeypatch, classes, we
     monkeypatch.setattr(ensembles, "ANSWERS", 0)
     plain, want = grown()
     assert len(made) == 1 and (nodes.feature == plain.feature).all() and (nodes.bin == plain.bin).all() and said == pytest.approx(want)
+
+
+def test_drawn_rows_are_added_up_to_cells(spark, monkeypatch):
+    """Trees that draw rows by hash go over cells too; a node may be split by one of its drawn columns only."""
+    draw = np.random.default_rng(5)
+    x = draw.integers(0, 5, size=(2000, 3)).astype(float)
+    y = x[:, 0] * x[:, 1] + draw.normal(size=2000)
+    df = spark.createDataFrame([(i, i % 7, v.tolist(), float(l)) for i, (v, l) in enumerate(zip(x, y))], "id long, part long, features array<double>, label double")
+    made, cells = [], ensembles.cells
+    monkeypatch.setattr(ensembles, "cells", lambda *a: made.append(cells(*a)) or made[-1])
+
+    def grown():
+        model = Forest(["id", "part"], 9, depth=3, classes=False, node_columns=1, seed=2).fit(df)
+        return model, predictions(model, df)
+
+    model, said = grown()
+    assert len(made) == 1 and made[0].count() <= 5 * 5 * 5
+    monkeypatch.setattr(ensembles, "CELLS", 0)
+    plain, want = grown()
+    assert len(made) == 1 and (model.nodes.feature == plain.nodes.feature).all() and said == pytest.approx(want)
+    for tree in range(9):
+        for node in np.flatnonzero(model.nodes.feature[tree] >= 0):
+            assert model.nodes.feature[tree, node] == np.random.default_rng((2, tree, node)).permutation(3)[0]
+
+
+def test_importances_equal_the_library_tree(grid):
+    df = grid[0].select("id", array_to_vector("features").alias("features"), F.col("value").alias("label"))
+    want = DecisionTreeRegressor(maxDepth=3).fit(df).featureImportances.toArray()
+    assert Forest("id", 1, depth=3, classes=False, replace=False, share=1.0).fit(df).importances() == pytest.approx(want)
+    given = Forest("id", 1, depth=3, classes=False, weights=F.array((F.col("id") % 2).cast("double"))).fit(df)
+    assert given.importances() == pytest.approx(DecisionTreeRegressor(maxDepth=3).fit(df.where("id % 2 = 1")).featureImportances.toArray())
