@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -21,6 +22,12 @@ ALPHA = 0.5
 WORDS, REMEMBERED = 200_000, 150_000
 #: Units that are filtered side by side.
 UNITS = 50_000
+#: Characters below this, and the blank, are looked up in a square of neighbours; all others are searched for.
+NEAR = 1_024
+
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
 
 
 class PieceTable:
@@ -46,8 +53,27 @@ class PieceTable:
         #: Every beginning of a piece: the piece itself if it is one, else nothing.
         self.known = {p[:n]: None for p in self.weights for n in range(1, len(p))} | self.weights
         self._grow()
+        pairs = {p[i:i + 2] for p in self.weights for i in range(len(p) - 1)}
         #: Neighbours inside of some piece. Between any others every segmentation has a cut.
-        self.pairs = {p[i:i + 2] for p in self.weights for i in range(len(p) - 1)}
+        self.pairs = np.array(sorted(ord(a) << 21 | ord(b) for a, b in pairs), dtype=np.int64)
+        self.near = np.zeros((NEAR + 1, NEAR + 1), dtype=bool)
+        left, right = self._places(self.pairs >> 21), self._places(self.pairs & (1 << 21) - 1)
+        self.near[left[(left >= 0) & (right >= 0)], right[(left >= 0) & (right >= 0)]] = True
+
+    @staticmethod
+    def _places(chars: np.ndarray) -> np.ndarray:
+        """Places in the square of neighbours, below zero for characters outside of it."""
+        return np.where(chars == ord(BLANK), NEAR, np.where(chars < NEAR, chars, -1))
+
+    def joined(self, chars: np.ndarray) -> np.ndarray:
+        """Whether some piece spans each character and the next."""
+        at = self._places(chars)
+        left, right = at[:-1], at[1:]
+        found = self.near[left, right]
+        far = np.flatnonzero((left < 0) | (right < 0))
+        keys = chars[far] << 21 | chars[far + 1]
+        found[far] = self.pairs[np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)] == keys
+        return found
 
     def _grow(self) -> None:
         """The beginnings as a tree in sorted arrays: a state for each, keyed by the state before and the next character."""
@@ -92,28 +118,36 @@ class Lattices:
 
     def __init__(self, table: PieceTable):
         self.table = table
-        self.words: dict[str, tuple[int, ...]] = {}
+        #: The number of each word; its units' end nodes lie one after another.
+        self.words: dict[str, int] = {}
+        self.ends, self.first = np.empty(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
         self.units: dict[str, int] = {}
         self.nodes, self.parts, self.more = 0, [], {}
         self.frozen = None
 
     def learn(self, words: list[str]) -> None:
         """Cut new words, given without the blank before them, into units, and filter the new units."""
-        pairs, cut, new = self.table.pairs, {}, {}
-        for word in words:
-            text, units, start = BLANK + word, [], 0
-            for i in range(1, len(text) + 1):
-                if i == len(text) or text[i - 1:i + 1] not in pairs:
-                    unit, start = text[start:i], i
-                    if unit not in self.units:
-                        new[unit] = None
-                    units.append(unit)
-            cut[word] = units
-        ordered = sorted(new, key=len)
+        if not words:
+            return
+        text = BLANK + BLANK.join(words)
+        chars = code_points(text)
+        begins = chars == ord(BLANK)  # of words, since none has this sign itself
+        cuts = np.flatnonzero(np.r_[True, begins[1:] | ~self.table.joined(chars)])
+        stops = cuts.tolist() + [len(text)]
+        units = [text[i:j] for i, j in zip(stops[:-1], stops[1:])]
+        ordered = sorted(dict.fromkeys(u for u in units if u not in self.units), key=len)
         for at in range(0, len(ordered), UNITS):
             self._filter(ordered[at:at + UNITS])
-        for word, units in cut.items():
-            self.words[word] = tuple(self.units[u] for u in units)
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words))))
+        self.first = np.r_[self.first[:-1], len(self.ends) + np.flatnonzero(begins[cuts]), len(self.ends) + len(units)]
+        self.ends = np.r_[self.ends, np.fromiter(map(self.units.__getitem__, units), dtype=np.int64, count=len(units))]
+
+    def units_of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """End nodes of the units of words in order, and how many each word has."""
+        many = self.first[numbers + 1] - self.first[numbers]
+        behind = np.cumsum(many)
+        at = np.repeat(self.first[numbers] - behind + many, many) + np.arange(int(behind[-1]) if len(many) else 0)
+        return self.ends[at], many
 
     def _filter(self, units: list[str]) -> None:
         """Forward filtering, all units a place at a time: the weight of all segmentations up to there, and each last piece's share.
@@ -123,7 +157,7 @@ class Lattices:
         table = self.table
         sizes = np.array([len(u) for u in units])
         ends = np.cumsum(sizes)
-        chars = np.array([ord(c) for u in units for c in u], dtype=np.int64)
+        chars = code_points("".join(units))
         left = np.repeat(ends, sizes) - np.arange(len(chars))
         start, length, piece, weight = table.spans(chars, left)
         bare = np.ones(len(chars), dtype=bool)
@@ -172,7 +206,12 @@ class Lattices:
         return self.more.setdefault(ids, len(self.more) + 1)
 
     def draw(self, ends: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Backward sampling from each end node to its unit's begin: the ids of all units in order, and how many each has."""
+        """Backward sampling from each end node to its unit's begin: the ids of all units in order, and how many each has.
+
+        Units are walked in the order of their nodes, so that neighbours look up edges that lie side by side.
+        """
+        if not len(ends):
+            return np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int64)
         if self.frozen is None:
             wide = [(), *self.more]
             table = np.full((len(wide), 4), -1, dtype=np.int32)
@@ -182,26 +221,30 @@ class Lattices:
             self.parts = [tuple(merged)]
             self.frozen = (*merged[:3], table, merged[3])
         rank, before, piece, wide, begins = self.frozen
-        live, node, steps = np.arange(len(ends)), ends.copy(), []
+        order = np.argsort(ends, kind="stable")
+        live, node, seeds, steps = np.arange(len(ends)), ends[order], seeds[order], []
         count, step = np.zeros(len(ends), dtype=np.int64), 0
         while len(live):
             edge = np.searchsorted(rank, node[live] + uniform(seeds[live], step), side="right")
             ids = piece[edge]
-            sizes = np.where(ids < 0, (wide[np.maximum(-ids, 0)] >= 0).sum(axis=1), 1)
-            count[live] += sizes
+            taken = np.where(ids < 0, (wide[np.maximum(-ids, 0)] >= 0).sum(axis=1), 1)
+            count[live] += taken
             steps.append((live, ids, count[live]))
             node[live] = before[edge]
             live = live[~begins[node[live]]]
             step += 1
-        stops = np.cumsum(count)
+        sizes = np.empty_like(count)
+        sizes[order] = count
+        stops = np.cumsum(sizes)
         out = np.empty(int(stops[-1]) if len(stops) else 0, dtype=np.int32)
+        stops = stops[order]
         for where, ids, behind in steps:
             at, single = stops[where] - behind, ids >= 0
             out[at[single]] = ids[single]
             for k in range(4):
                 some = ~single & (wide[np.maximum(-ids, 0), k] >= 0)
                 out[at[some] + k] = wide[-ids[some], k]
-        return out, count
+        return out, sizes
 
 
 def uniform(seeds: np.ndarray, step: int) -> np.ndarray:
@@ -234,19 +277,14 @@ class Sampler:
         if len(self.lattices.words) > REMEMBERED:
             self.lattices = Lattices(self.table)
         known = self.lattices.words
-        new = dict.fromkeys(w for parts, _ in block for w in parts if w not in known)
-        if new:
-            self.lattices.learn(list(new))
-        ends, sizes = [], []
-        for parts, _ in block:
-            before = len(ends)
-            for word in parts:
-                ends += known[word]
-            sizes.append(len(ends) - before)
-        sizes = np.array(sizes)
+        self.lattices.learn([w for w in dict.fromkeys(chain.from_iterable(parts for parts, _ in block)) if w not in known])
+        words = [len(parts) for parts, _ in block]
+        numbers = np.fromiter(map(known.__getitem__, chain.from_iterable(parts for parts, _ in block)), dtype=np.int64, count=sum(words))
+        ends, many = self.lattices.units_of(numbers)
+        sizes = np.diff(np.r_[0, np.cumsum(many)][np.r_[0, np.cumsum(words)]])
         place = np.arange(len(ends)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         seeds = np.repeat(np.array([s % (1 << 64) for _, s in block], dtype=np.uint64), sizes) ^ (place.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-        ids, count = self.lattices.draw(np.array(ends, dtype=np.int64), seeds)
+        ids, count = self.lattices.draw(ends, seeds)
         cuts = np.r_[0, np.cumsum(count)][np.cumsum(sizes)]
         yield from np.split(ids, cuts[:-1])
 

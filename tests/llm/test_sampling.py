@@ -60,3 +60,25 @@ def test_draws_follow_the_weights(word):
 
 def test_no_rows(spark):
     assert digest(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+
+
+def test_words_are_cut_where_no_piece_spans_two_neighbours():
+    """All words of a block are cut together; a word's units are those of the plain rule, and its draw is the one it has alone."""
+    sampler = Sampler(PATH)
+    table = sampler.table
+    spanned = {p[i:i + 2] for p in table.weights for i in range(len(p) - 1)}
+    words = list(dict.fromkeys(w for t in texts() if t for w in t.replace(BLANK, "\udc81")[:500].split(" ")))
+    sampler.lattices.learn(words)
+    node = {v: u for u, v in sampler.lattices.units.items()}
+    ends, many = sampler.lattices.units_of(np.arange(len(words)))
+    for word, places in zip(words, np.split(ends, np.cumsum(many)[:-1])):
+        text, want = BLANK + word, [BLANK]
+        for a, b in zip(text, text[1:]):
+            if a + b in spanned:
+                want[-1] += b
+            else:
+                want.append(b)
+        assert [node[i] for i in places.tolist()] == want
+    block = ["the words of it", "", "日本 où", "the"]
+    alone = [next(Sampler(PATH).encode([t.encode()], [7])).tolist() for t in block]
+    assert [x.tolist() for x in sampler.encode([t.encode() for t in block], [7] * 4)] == alone
