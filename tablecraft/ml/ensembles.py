@@ -29,6 +29,8 @@ BLOCK = 1 << 16
 WALKED = 1 << 20
 #: Numbers in the sums of all cells, and cells whose predictions are worked out beforehand, at most.
 CELLS, ANSWERS = 1 << 23, 1 << 16
+#: What all trees say of all combinations of bins is worked out beforehand, if it has that many numbers at most.
+SAID = 1 << 20
 #: Trees whose rows are drawn at a time, and bytes of cells that travel as one.
 DRAWN, SLICE = 8, 1 << 18
 #: Borders are taken from that many quantiles, or are all values if these are few.
@@ -385,7 +387,8 @@ class Forest:
         self.nodes = Nodes.empty(0, 0, 0)
 
     def _given(self) -> list[Column]:
-        given = F.lit(None).cast("array<double>") if self.weights is None else self.weights.cast("array<double>")
+        """Hash and given weights of a row. Weights keep their type until they are in numpy: a cast of a long array costs far more than the array."""
+        given = F.lit(None).cast("array<double>") if self.weights is None else self.weights
         return [self._hash(), given.alias("w")]
 
     def _hash(self) -> Column:
@@ -443,7 +446,7 @@ class Forest:
         small = 0 < wide * _combinations(self.cuts) * max(2, many) <= CELLS
         if small:
             by_hash = self.weights is None and not self._all_rows()
-            given = [self._hash()] if by_hash else [] if self.weights is None else [self.weights.cast("array<double>").alias("w")]
+            given = [self._hash()] if by_hash else [] if self.weights is None else [self.weights.alias("w")]
             more = [self._weights()] if by_hash else []
             rows = cells(known.select(y, x.alias("v"), *given), self.cuts, many, wide, *more)
         else:
@@ -487,14 +490,17 @@ class Forest:
         step = max(1, WALKED // max(1, trees))
         fixed = self.weights is not None
 
-        def answers(x: np.ndarray, unseen: np.ndarray | None = None) -> np.ndarray:
+        def asked_trees(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             node = nodes.reached(x, depth)
             at = np.arange(trees)[None, :]
-            said, asked = leaf[at, node], grown[at, node]
+            return leaf[at, node], grown[at, node]
+
+        def answers(x: np.ndarray, unseen: np.ndarray | None = None) -> np.ndarray:
+            said, asked = asked_trees(x) if each is None else (a[_codes(x, cuts)] for a in each)
             if unseen is not None:
                 asked = asked & unseen
             if classes:
-                votes = np.stack([((said == k) & asked).sum(axis=1) for k in range(many)], axis=1)
+                votes = np.stack([np.count_nonzero((said == k) & asked, axis=1) for k in range(many)], axis=1)
                 return np.where(votes.any(axis=1), votes.argmax(axis=1), np.nan)
             count = asked.sum(axis=1)
             return np.divide(np.where(asked, said, 0).sum(axis=1), count, out=np.full(len(x), np.nan), where=count > 0)
@@ -503,9 +509,12 @@ class Forest:
             parts = [answers(x[start:start + step], unseen(start, start + step)) for start in range(0, len(x), step)]
             return np.concatenate(parts) if parts else np.empty(0)
 
-        known = None
+        known = each = None
         if width and not unseen_only and _combinations(cuts) <= ANSWERS:
             known = in_steps(_of_codes(np.arange(_combinations(cuts)), cuts))
+        elif width and unseen_only and _combinations(cuts) * trees <= SAID:
+            each = asked_trees(_of_codes(np.arange(_combinations(cuts)), cuts))
+            each = (each[0].astype(np.min_scalar_type(max(many - 1, 1))) if classes else each[0], each[1])
 
         def bins_of(values: pa.Array) -> np.ndarray:
             return _cut(_matrix(values, width), cuts)

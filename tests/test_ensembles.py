@@ -164,6 +164,26 @@ def test_drawn_rows_are_added_up_to_cells(spark, monkeypatch):
             assert model.nodes.feature[tree, node] == np.random.default_rng((2, tree, node)).permutation(3)[0]
 
 
+def test_given_weights_are_short_code_and_keep_their_type(spark, monkeypatch):
+    """Weights reach the trees in the type that they are given in; out-of-bag votes are looked up where bins have few combinations."""
+    from tablecraft.catalog import models
+
+    keys = spark.range(400).select(F.col("id").alias("l_orderkey"), (F.col("id") % 7).cast("int").alias("l_linenumber"))
+    given = models._drawn(models._TIMES)
+    model = Forest("l_orderkey", len(models._MULTIPLIERS), depth=1, weights=given)
+    for row in keys.select("*", model._given()[1]).collect():
+        assert row.w == [(row.l_orderkey * b + row.l_linenumber) % 7 % 3 for b in models._MULTIPLIERS]
+    assert dict(keys.select(model._given()[1]).dtypes)["w"] == "array<tinyint>"  # no cast, which took longer than all else
+    for classes in (True, False):
+        df = keys.withColumn("features", F.array((F.col("l_orderkey") % 6).cast("double"))).withColumn("label", (F.col("l_orderkey") % 6 > 3).cast("double"))
+        model = Forest("l_orderkey", len(models._MULTIPLIERS), depth=1, classes=classes, weights=given).fit(df)
+        found = []
+        for most in (1 << 20, 0):
+            monkeypatch.setattr(ensembles, "SAID", most)
+            found.append(model.oob_score(df).first())
+        assert found[0] == found[1] and found[0].rows > 0
+
+
 def test_importances_equal_the_library_tree(grid):
     df = grid[0].select("id", array_to_vector("features").alias("features"), F.col("value").alias("label"))
     want = DecisionTreeRegressor(maxDepth=3).fit(df).featureImportances.toArray()
